@@ -1,0 +1,44 @@
+"""Several tables that change together.
+
+Parquet has no transaction over tables, so a load writes its new rows of every table under
+`<base>/<table>/batch=<n>` and, once all of them are written and checked, appends the number to
+`<base>/_published/<step>`. Readers take the batches up to the last published number (a partition
+filter), so a load that fails anywhere changes nothing they see, and the next attempt writes the same
+batch number again, over the leftovers. One load at a time is assumed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from tradeloom.sources.files import append_dataset, read_or_empty, replace_dataset
+
+_MARKER = StructType([StructField("batch", IntegerType())])
+
+
+def published_batch(spark: SparkSession, base: str, step: str) -> int:
+    """Number of the last complete batch of `step`, 0 before the first."""
+    markers = read_or_empty(spark, f"{base}/_published/{step}", _MARKER)
+    return markers.agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
+
+
+def publish_batch(spark: SparkSession, base: str, step: str, batch: int) -> None:
+    append_dataset(spark.createDataFrame([(batch,)], _MARKER).coalesce(1), f"{base}/_published/{step}")
+
+
+def stage_rows(df: DataFrame, base: str, table: str, batch: int) -> None:
+    replace_dataset(df, f"{base}/{table}/batch={batch}")
+
+
+def read_batches(spark: SparkSession, base: str, table: str, schema: StructType, upto: int) -> DataFrame:
+    """Rows of `table` in batches 1 to `upto`."""
+    with_batch = StructType([*schema.fields, *_MARKER.fields])
+    stored = read_or_empty(spark, f"{base}/{table}", with_batch)
+    return stored.filter(F.col("batch") <= upto).drop("batch")
+
+
+def read_batch(spark: SparkSession, base: str, table: str, schema: StructType, batch: int) -> DataFrame:
+    """Rows that one batch added."""
+    return read_or_empty(spark, f"{base}/{table}/batch={batch}", schema)
