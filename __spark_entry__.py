@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,8 @@ from tradeloom.plans import bookings, documents, reports, shop, shop_windows, wa
 from tradeloom.sources import samples
 from tradeloom.sources.calendar import calendar_spanning
 from tradeloom.sources.catalog import register_views
+from tradeloom.sources.files import empty
+from tradeloom.sources.settled import settle
 
 FLAGSHIP = "shop_top5_by_segment"
 FLAGSHIP_FOLDER = "/root/testdata/sf0.001"
@@ -277,21 +278,13 @@ def booking_daily_occupancy(spark, folder):
 # --- warehouse load -------------------------------------------------------------------------------
 
 
-def _none(spark, schema):
-    return spark.createDataFrame([], schema)
+def _members(spark, found):
+    """A first load of simple dimensions, written out as the load job does before it loads facts."""
+    return settle(dimensions.new_members(found, empty(spark, schemas.MEMBERS)), "members")
 
 
-def _warehouse(spark, folder):
-    """Raw files and a first load of the simple dimensions."""
-    raw_customers = samples.raw_customers(spark, folder)
-    raw_transactions = samples.raw_transactions(spark, folder)
-    found = warehouse.found_members(raw_customers, raw_transactions)
-    members = dimensions.new_members(found, _none(spark, schemas.MEMBERS))
-    return SimpleNamespace(
-        raw_customers=raw_customers,
-        raw_transactions=raw_transactions,
-        members=dimensions.with_unknown_members(members, warehouse.PRODUCT_DIMENSIONS),
-    )
+def _product_members(spark, found):
+    return dimensions.with_unknown_members(_members(spark, found), warehouse.PRODUCT_DIMENSIONS)
 
 
 def _living_customers(spark, folder):
@@ -328,9 +321,7 @@ def dim_load_simple(spark, folder):
     raw_customers = samples.raw_customers(spark, folder)
     raw_transactions = samples.raw_transactions(spark, folder)
     early = raw_transactions.filter(F.to_date("transaction_date", "M/d/yyyy") < F.lit(LOADED_BEFORE))
-    loaded = dimensions.new_members(
-        dimensions.distinct_members(early, warehouse.TRANSACTION_DIMENSIONS), _none(spark, schemas.MEMBERS)
-    )
+    loaded = _members(spark, dimensions.distinct_members(early, warehouse.TRANSACTION_DIMENSIONS))
     added = dimensions.new_members(warehouse.found_members(raw_customers, raw_transactions), loaded)
     return loaded.withColumn("added", F.lit(False)).unionByName(added.withColumn("added", F.lit(True)))
 
@@ -338,11 +329,11 @@ def dim_load_simple(spark, folder):
 @_query
 def dim_load_location(spark, folder):
     """All three location levels of a first load, stacked."""
-    places = dimensions.distinct_places(samples.raw_customers(spark, folder))
+    places = settle(dimensions.distinct_places(samples.raw_customers(spark, folder)), "places")
     nothing = dimensions.Locations(
-        _none(spark, schemas.COUNTRIES), _none(spark, schemas.STATES), _none(spark, schemas.POSTCODES)
+        empty(spark, schemas.COUNTRIES), empty(spark, schemas.STATES), empty(spark, schemas.POSTCODES)
     )
-    loaded = dimensions.new_locations(places, nothing)
+    loaded = dimensions.new_locations(places, nothing, settle)
     no_id = F.lit(None).cast("bigint")
 
     def level(df, name, id_column, label, parent):
@@ -362,52 +353,52 @@ def dim_surrogate_key(spark, folder):
     """Brands and product names, each numbered on its own."""
     part = samples.sample(spark, folder, "part")
     names = dimensions.distinct_members(part, {"brands": "p_brand", "product_names": "p_name"})
-    return dimensions.new_members(names, _none(spark, schemas.MEMBERS))
+    return dimensions.new_members(names, empty(spark, schemas.MEMBERS))
 
 
 @_query
 def dim_unknown_member(spark, folder):
+    """Asked for twice, added once."""
     product = samples.shop_product(spark, folder)
-    columns = {d: c for d, c in warehouse.TRANSACTION_DIMENSIONS.items() if d in warehouse.PRODUCT_DIMENSIONS}
-    members = dimensions.new_members(
-        dimensions.distinct_members(product, columns), _none(spark, schemas.MEMBERS)
-    )
-    once = dimensions.with_unknown_members(members, warehouse.PRODUCT_DIMENSIONS)
+    once = _product_members(spark, dimensions.distinct_members(product, warehouse.PRODUCT_DIMENSIONS))
     return dimensions.with_unknown_members(once, warehouse.PRODUCT_DIMENSIONS)
 
 
 @_query
 def fact_products(spark, folder):
-    w = _warehouse(spark, folder)
-    return warehouse.products(w.raw_transactions, w.members, _none(spark, schemas.DIM_PRODUCTS))
+    raw = samples.raw_transactions(spark, folder)
+    members = _product_members(spark, dimensions.distinct_members(raw, warehouse.PRODUCT_DIMENSIONS))
+    return warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))
 
 
 @_query
 def fact_customers(spark, folder):
     raw = samples.raw_customers(spark, folder)
-    found = dimensions.distinct_members(raw, warehouse.CUSTOMER_DIMENSIONS, ["job_industries"])
-    members = dimensions.new_members(found, _none(spark, schemas.MEMBERS))
-    return warehouse.customers(raw, members, _none(spark, schemas.DIM_CUSTOMERS)).withColumn(
+    members = _members(
+        spark, dimensions.distinct_members(raw, warehouse.CUSTOMER_DIMENSIONS, ["job_industries"])
+    )
+    return warehouse.customers(raw, members, empty(spark, schemas.DIM_CUSTOMERS)).withColumn(
         "property_valuation", F.col("property_valuation").cast("int")
     )
 
 
 @_query
 def fact_transactions(spark, folder):
-    w = _warehouse(spark, folder)
-    return warehouse.transactions(
-        w.raw_transactions, _living_customers(spark, folder), w.members, _none(spark, schemas.TRANSACTIONS)
-    )
+    raw = samples.raw_transactions(spark, folder)
+    members = _members(spark, dimensions.distinct_members(raw, {"order_statuses": "order_status"}))
+    known = _living_customers(spark, folder)
+    return warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
 
 
 @_query
 def report_transactions_wide(spark, folder):
-    w = _warehouse(spark, folder)
-    product = warehouse.products(w.raw_transactions, w.members, _none(spark, schemas.DIM_PRODUCTS))
-    fact = warehouse.transactions(
-        w.raw_transactions, _living_customers(spark, folder), w.members, _none(spark, schemas.TRANSACTIONS)
-    )
-    return warehouse.wide_transactions(fact, product, w.members)
+    raw = settle(samples.raw_transactions(spark, folder), "raw_transactions")
+    found = dimensions.distinct_members(raw, warehouse.TRANSACTION_DIMENSIONS)
+    members = settle(_product_members(spark, found), "members")
+    product = warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))
+    known = _living_customers(spark, folder)
+    fact = warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
+    return warehouse.wide_transactions(fact, product, members)
 
 
 @_query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,8 +38,10 @@ def new_members(found: DataFrame, existing: DataFrame) -> DataFrame:
 
 def missing_unknown_members(members: DataFrame, dimensions: Collection[str]) -> DataFrame:
     """The member 0, "Unknown", of each of `dimensions` that has no member 0 yet."""
-    unknown = members.sparkSession.createDataFrame(
-        [(d, UNKNOWN_ID, UNKNOWN_NAME) for d in dimensions], "dimension STRING, id BIGINT, name STRING"
+    unknown = members.sparkSession.range(1).select(
+        F.explode(F.array(*(F.lit(d) for d in dimensions))).alias("dimension"),
+        F.lit(UNKNOWN_ID).cast("bigint").alias("id"),
+        F.lit(UNKNOWN_NAME).alias("name"),
     )
     return new_rows(unknown, members.filter(F.col("id") == UNKNOWN_ID), ["dimension", "id"])
 
@@ -97,11 +99,17 @@ def new_postcodes(
     return new_rows(found, existing, ["postcode"])
 
 
-def new_locations(places: DataFrame, existing: Locations) -> Locations:
-    """The rows to add to all three levels."""
-    countries = new_countries(places, existing.countries)
+def new_locations(
+    places: DataFrame, existing: Locations, settle: Callable[[DataFrame, str], DataFrame]
+) -> Locations:
+    """The rows to add to all three levels.
+
+    Every level refers to the ids of the one above, so each is passed through `settle` (write and
+    read back, given the table name) before the next is built on it.
+    """
+    countries = settle(new_countries(places, existing.countries), "countries")
     all_countries = existing.countries.unionByName(countries)
-    states = new_states(places, all_countries, existing.states)
+    states = settle(new_states(places, all_countries, existing.states), "states")
     all_states = existing.states.unionByName(states)
-    postcodes = new_postcodes(places, all_countries, all_states, existing.postcodes)
+    postcodes = settle(new_postcodes(places, all_countries, all_states, existing.postcodes), "postcodes")
     return Locations(countries, states, postcodes)

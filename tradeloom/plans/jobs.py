@@ -15,10 +15,8 @@ from tradeloom.operators.dimensions import (
     Locations,
     distinct_places,
     missing_unknown_members,
-    new_countries,
+    new_locations,
     new_members,
-    new_postcodes,
-    new_states,
 )
 from tradeloom.plans import reports, warehouse
 from tradeloom.sources.batches import (
@@ -88,27 +86,17 @@ def load_dimensions(
     published = published_batch(spark, base, "dimensions")
     batch = published + 1
     old = {n: read_batches(spark, base, n, s, published) for n, s in DIMENSION_TABLES.items()}
-    existing = Locations(old["countries"], old["states"], old["postcodes"])
-
-    def written(df: DataFrame, table: str) -> DataFrame:
+    def stage(df: DataFrame, table: str) -> DataFrame:
         stage_rows(df, base, table, batch)
-        return read_batch(spark, base, table, DIMENSION_TABLES[table], batch)
-
-    # The customer file is scanned once for the places; each level then reads the staged parents.
-    stage_rows(distinct_places(raw_customers), base, "_places", batch)
-    places = spark.read.parquet(f"{base}/_places/batch={batch}")
-    countries = existing.countries.unionByName(
-        written(new_countries(places, existing.countries), "countries")
-    )
-    states = existing.states.unionByName(
-        written(new_states(places, countries, existing.states), "states")
-    )
-    written(new_postcodes(places, countries, states, existing.postcodes), "postcodes")
+        return read_batch(spark, base, table, df.schema, batch)
+
+    existing = Locations(old["countries"], old["states"], old["postcodes"])
+    new_locations(stage(distinct_places(raw_customers), "_places"), existing, stage)
 
     found = warehouse.found_members(raw_customers, raw_transactions)
     fresh = new_members(found, old["members"])
     unknown = missing_unknown_members(old["members"], warehouse.PRODUCT_DIMENSIONS)
-    written(fresh.unionByName(unknown), "members")
+    stage(fresh.unionByName(unknown), "members")
     publish_batch(spark, base, "dimensions", batch)
     return batch
 

@@ -16,14 +16,13 @@ from tradeloom.operators.ranking import keep_first
 
 # Dimension tables and the source columns they come from.
 CUSTOMER_DIMENSIONS = {"job_industries": "job_industry_category", "wealth_segments": "wealth_segment"}
-TRANSACTION_DIMENSIONS = {
-    "order_statuses": "order_status",
+PRODUCT_DIMENSIONS = {
     "brands": "brand",
     "product_lines": "product_line",
     "product_classes": "product_class",
     "product_sizes": "product_size",
 }
-PRODUCT_DIMENSIONS = ("brands", "product_lines", "product_classes", "product_sizes")
+TRANSACTION_DIMENSIONS = {"order_statuses": "order_status", **PRODUCT_DIMENSIONS}
 # Name column of each dimension when it is read as a table of its own.
 NAME_COLUMNS = {
     "job_industries": "category_name",

@@ -28,58 +28,50 @@ def _table(**columns: DataType) -> StructType:
 
 
 CUSTOMER = _table(
-    customer_id=INT, first_name=TEXT, last_name=TEXT, gender=TEXT, dob=DATE, job_title=TEXT,
+    customer_id=LONG, first_name=TEXT, last_name=TEXT, gender=TEXT, dob=DATE, job_title=TEXT,
     job_industry_category=TEXT, wealth_segment=TEXT, deceased_indicator=TEXT, owns_car=TEXT,
     address=TEXT, postcode=TEXT, state=TEXT, country=TEXT, property_valuation=INT,
 )
 PRODUCT = _table(
-    product_id=INT, brand=TEXT, product_line=TEXT, product_class=TEXT, product_size=TEXT,
+    product_id=LONG, brand=TEXT, product_line=TEXT, product_class=TEXT, product_size=TEXT,
     list_price=MONEY, standard_cost=MONEY,
 )
 ORDERS = _table(
-    order_id=INT, customer_id=INT, order_date=DATE, online_order=FLAG, order_status=TEXT,
+    order_id=LONG, customer_id=LONG, order_date=DATE, online_order=FLAG, order_status=TEXT,
 )
 ORDER_ITEMS = _table(
-    order_item_id=INT, order_id=INT, product_id=INT, quantity=INT, item_list_price_at_sale=MONEY,
+    order_item_id=LONG, order_id=LONG, product_id=LONG, quantity=INT, item_list_price_at_sale=MONEY,
     item_standard_cost_at_sale=MONEY,
 )
 
 # Raw files of the warehouse load: everything that needs cleaning arrives as text.
 RAW_CUSTOMER = _table(
-    customer_id=INT, first_name=TEXT, last_name=TEXT, gender=TEXT, DOB=TEXT, job_title=TEXT,
+    customer_id=LONG, first_name=TEXT, last_name=TEXT, gender=TEXT, DOB=TEXT, job_title=TEXT,
     job_industry_category=TEXT, wealth_segment=TEXT, deceased_indicator=TEXT, owns_car=TEXT,
     address=TEXT, postcode=TEXT, state=TEXT, country=TEXT, property_valuation=SHORT,
 )
 RAW_TRANSACTION = _table(
-    transaction_id=INT, product_id=INT, customer_id=INT, transaction_date=TEXT, online_order=TEXT,
+    transaction_id=LONG, product_id=LONG, customer_id=LONG, transaction_date=TEXT, online_order=TEXT,
     order_status=TEXT, brand=TEXT, product_line=TEXT, product_class=TEXT, product_size=TEXT,
     list_price=TEXT, standard_cost=TEXT,
 )
 
 # Normalised warehouse tables.
-COUNTRIES = _table(
-    id=LONG, country_name=TEXT,
-)
-STATES = _table(
-    id=LONG, state_name=TEXT, country_id=LONG,
-)
-POSTCODES = _table(
-    postcode=TEXT, state_id=LONG,
-)
-MEMBERS = _table(
-    dimension=TEXT, id=LONG, name=TEXT,
-)
+COUNTRIES = _table(id=LONG, country_name=TEXT)
+STATES = _table(id=LONG, state_name=TEXT, country_id=LONG)
+POSTCODES = _table(postcode=TEXT, state_id=LONG)
+MEMBERS = _table(dimension=TEXT, id=LONG, name=TEXT)
 DIM_CUSTOMERS = _table(
-    customer_id=INT, first_name=TEXT, last_name=TEXT, gender=TEXT, dob=DATE, job_title=TEXT,
+    customer_id=LONG, first_name=TEXT, last_name=TEXT, gender=TEXT, dob=DATE, job_title=TEXT,
     job_industry_category_id=LONG, wealth_segment_id=LONG, deceased_indicator=FLAG, owns_car=FLAG,
     address=TEXT, postcode=TEXT, property_valuation=SHORT,
 )
 DIM_PRODUCTS = _table(
-    product_id=INT, brand_id=LONG, product_line_id=LONG, product_class_id=LONG, product_size_id=LONG,
+    product_id=LONG, brand_id=LONG, product_line_id=LONG, product_class_id=LONG, product_size_id=LONG,
     list_price=MONEY, standard_cost=MONEY,
 )
 TRANSACTIONS = _table(
-    transaction_id=INT, product_id=INT, customer_id=INT, transaction_date=DATE, online_order=FLAG,
+    transaction_id=LONG, product_id=LONG, customer_id=LONG, transaction_date=DATE, online_order=FLAG,
     order_status_id=LONG,
 )
 
@@ -89,12 +81,8 @@ THEATER = _table(
     theater_id=LONG,
     location=_table(address=_table(street=TEXT, city=TEXT, state=TEXT, zipcode=TEXT)),
 )
-COMMENT = _table(
-    _id=TEXT, name=TEXT, movie_id=TEXT, text=TEXT,
-)
-MOVIE = _table(
-    _id=TEXT, title=TEXT, year=INT, genres=TEXTS,
-)
+COMMENT = _table(_id=TEXT, name=TEXT, movie_id=TEXT, text=TEXT)
+MOVIE = _table(_id=TEXT, title=TEXT, year=INT, genres=TEXTS)
 
 BOOKING = _table(
     ID=TEXT, n_adults=INT, n_children=INT, weekend_nights=INT, week_nights=INT, meal_plan=TEXT,

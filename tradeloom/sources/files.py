@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradeloom.functions import blank_to_null
@@ -39,6 +40,12 @@ def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return spark.read.schema(schema).json(path)
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows. Known to be empty when a plan is optimised, so joins with it vanish."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).filter(F.lit(False)).select(*columns)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A parquet dataset, or no rows if nothing has been written there yet."""
     try:
@@ -46,7 +53,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
 
 
 def replace_dataset(df: DataFrame, path: str) -> None:

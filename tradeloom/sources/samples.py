@@ -9,26 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions import map_values
-
-_INDUSTRY = {"MACHINERY": "IT", "BUILDING": "Financial Services", "HOUSEHOLD": "Health", "FURNITURE": "n/a"}
-_LINE = {"PROMO": "Road", "STANDARD": "Standard", "MEDIUM": "Mountain"}
-_GENRE = {"red": "Horror", "blue": "Film-Noir", "hot": "Drama"}
-# Spellings and repeated names for the location hierarchy of the raw customer file.
-_STATE = {
-    "NATION_1": "VIC", "NATION_6": "Victoria", "NATION_2": "New South Wales", "NATION_7": "NSW",
-    "NATION_3": "Border", "NATION_4": "Border",
-}
-
 
 def sample(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _is_multiple(column: str, n: int):
-    return F.col(column) % n == 0
-
-
 def _customers_with_place(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = sample(spark, folder, "nation"), sample(spark, folder, "region")
     place = nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -37,157 +22,144 @@ def _customers_with_place(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shop_customer(spark: SparkSession, folder: str) -> DataFrame:
-    born = F.date_add(F.lit("1950-01-01").cast("date"), ((F.col("c_custkey") * 37) % 18000).cast("int"))
-    title = map_values(F.col("c_custkey") % 4, {0: "Senior Analyst", 1: "Lead Engineer", 2: "Junior Analyst"}, None)
-    segment = map_values(F.col("c_custkey") % 3, {0: "Mass Customer", 1: "High Net Worth"}, "Affluent Customer")
-    postcode = 4000 + F.col("c_nationkey") * 10 + F.col("c_custkey") % 10
-    return _customers_with_place(spark, folder).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("first_name"),
-        F.col("n_name").alias("last_name"),
-        map_values(F.col("c_custkey") % 5, {0: "F", 1: "M", 2: "F", 3: "M"}, "U").alias("gender"),
-        F.when(~_is_multiple("c_custkey", 17), born).alias("dob"),
-        title.alias("job_title"),
-        map_values(F.col("c_mktsegment"), _INDUSTRY, None).alias("job_industry_category"),
-        segment.alias("wealth_segment"),
-        F.when(_is_multiple("c_custkey", 11), "Y").otherwise("N").alias("deceased_indicator"),
-        F.when(_is_multiple("c_custkey", 2), "Yes").otherwise("No").alias("owns_car"),
-        F.concat(F.col("c_nationkey").cast("string"), F.lit(" Market Street")).alias("address"),
-        postcode.cast("string").alias("postcode"),
-        F.col("n_name").alias("state"),
-        F.col("r_name").alias("country"),
-        (F.floor(F.col("c_acctbal") / 1000).cast("int") + 2).alias("property_valuation"),
+    return _customers_with_place(spark, folder).selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS first_name",
+        "n_name AS last_name",
+        "CASE c_custkey % 5 WHEN 0 THEN 'F' WHEN 1 THEN 'M' WHEN 2 THEN 'F' WHEN 3 THEN 'M' ELSE 'U' END AS gender",
+        "CASE WHEN c_custkey % 17 <> 0 "
+        "THEN date_add(DATE '1950-01-01', CAST((c_custkey * 37) % 18000 AS INT)) END AS dob",
+        "CASE c_custkey % 4 WHEN 0 THEN 'Senior Analyst' WHEN 1 THEN 'Lead Engineer' "
+        "WHEN 2 THEN 'Junior Analyst' END AS job_title",
+        "CASE c_mktsegment WHEN 'MACHINERY' THEN 'IT' WHEN 'BUILDING' THEN 'Financial Services' "
+        "WHEN 'HOUSEHOLD' THEN 'Health' WHEN 'FURNITURE' THEN 'n/a' END AS job_industry_category",
+        "CASE c_custkey % 3 WHEN 0 THEN 'Mass Customer' WHEN 1 THEN 'High Net Worth' "
+        "ELSE 'Affluent Customer' END AS wealth_segment",
+        "CASE WHEN c_custkey % 11 = 0 THEN 'Y' ELSE 'N' END AS deceased_indicator",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS owns_car",
+        "concat(c_nationkey, ' Market Street') AS address",
+        "CAST(4000 + c_nationkey * 10 + c_custkey % 10 AS STRING) AS postcode",
+        "n_name AS state",
+        "r_name AS country",
+        "CAST(floor(c_acctbal / 1000) AS INT) + 2 AS property_valuation",
     )
 
 
 def shop_product(spark: SparkSession, folder: str) -> DataFrame:
-    price = F.col("p_retailprice")
-    return sample(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(~_is_multiple("p_partkey", 101), F.col("p_brand")).alias("brand"),
-        map_values(F.col("p_type"), _LINE, "Touring").alias("product_line"),
-        F.when(F.col("p_size") <= 15, "low").when(F.col("p_size") <= 35, "medium").otherwise("high").alias(
-            "product_class"
-        ),
-        F.col("p_size").cast("string").alias("product_size"),
-        price.cast("decimal(10,2)").alias("list_price"),
-        (price * 0.8).cast("decimal(10,2)").alias("standard_cost"),
+    return sample(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "CASE WHEN p_partkey % 101 <> 0 THEN p_brand END AS brand",
+        "CASE p_type WHEN 'PROMO' THEN 'Road' WHEN 'STANDARD' THEN 'Standard' WHEN 'MEDIUM' THEN 'Mountain' "
+        "ELSE 'Touring' END AS product_line",
+        "CASE WHEN p_size <= 15 THEN 'low' WHEN p_size <= 35 THEN 'medium' ELSE 'high' END AS product_class",
+        "CAST(p_size AS STRING) AS product_size",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS list_price",
+        "CAST(p_retailprice * 0.8D AS DECIMAL(10,2)) AS standard_cost",
     )
 
 
 def shop_orders(spark: SparkSession, folder: str) -> DataFrame:
-    priority = F.col("o_orderpriority")
-    online = F.when(priority.isin("1-URGENT", "2-HIGH"), True).when(priority != "4-NOT SPECIFIED", False)
-    return sample(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        online.alias("online_order"),
-        F.when(F.col("o_orderstatus") == "F", "Approved").otherwise("Cancelled").alias("order_status"),
+    return sample(spark, folder, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN TRUE "
+        "WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN FALSE END AS online_order",
+        "CASE WHEN o_orderstatus = 'F' THEN 'Approved' ELSE 'Cancelled' END AS order_status",
     )
 
 
 def shop_order_items(spark: SparkSession, folder: str) -> DataFrame:
-    price = F.col("l_extendedprice")
-    return sample(spark, folder, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        price.cast("decimal(10,2)").alias("item_list_price_at_sale"),
-        (price * 0.75).cast("decimal(10,2)").alias("item_standard_cost_at_sale"),
+    return sample(spark, folder, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS order_item_id",
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS item_list_price_at_sale",
+        "CAST(l_extendedprice * 0.75D AS DECIMAL(10,2)) AS item_standard_cost_at_sale",
     )
 
 
 def bookings(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    day = F.when(_is_multiple("o_orderkey", 97), 31).otherwise(F.dayofmonth("o_orderdate"))
-    return sample(spark, folder, "orders").select(
-        key.cast("string").alias("ID"),
-        (key % 3 + 1).cast("int").alias("n_adults"),
-        (key % 2).cast("int").alias("n_children"),
-        (key % 3).cast("int").alias("weekend_nights"),
-        (key % 5).cast("int").alias("week_nights"),
-        F.concat(F.lit("Meal Plan "), (key % 4).cast("string")).alias("meal_plan"),
-        _is_multiple("o_orderkey", 9).cast("int").alias("car_parking_space"),
-        F.concat(F.lit("Room_Type "), (key % 7 + 1).cast("string")).alias("room_type"),
-        (key % 300).cast("int").alias("lead_time"),
-        F.year("o_orderdate").alias("year"),
-        F.month("o_orderdate").alias("month"),
-        day.cast("int").alias("date"),
-        F.col("o_orderpriority").alias("market_segment"),
-        _is_multiple("o_custkey", 10).cast("int").alias("repeated_guest"),
-        (key % 13 / 12).cast("int").alias("previous_cancellations"),
-        (key % 6).cast("int").alias("previous_bookings_not_canceled"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("avg_room_price"),
-        (key % 4).cast("int").alias("special_requests"),
-        F.when(F.col("o_orderstatus") == "P", "Canceled").otherwise("Not_Canceled").alias("status"),
+    return sample(spark, folder, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS ID",
+        "CAST(o_orderkey % 3 + 1 AS INT) AS n_adults",
+        "CAST(o_orderkey % 2 AS INT) AS n_children",
+        "CAST(o_orderkey % 3 AS INT) AS weekend_nights",
+        "CAST(o_orderkey % 5 AS INT) AS week_nights",
+        "concat('Meal Plan ', o_orderkey % 4) AS meal_plan",
+        "CAST(o_orderkey % 9 = 0 AS INT) AS car_parking_space",
+        "concat('Room_Type ', o_orderkey % 7 + 1) AS room_type",
+        "CAST(o_orderkey % 300 AS INT) AS lead_time",
+        "year(o_orderdate) AS year",
+        "month(o_orderdate) AS month",
+        "CASE WHEN o_orderkey % 97 = 0 THEN 31 ELSE day(o_orderdate) END AS date",
+        "o_orderpriority AS market_segment",
+        "CAST(o_custkey % 10 = 0 AS INT) AS repeated_guest",
+        "CAST(o_orderkey % 13 DIV 12 AS INT) AS previous_cancellations",
+        "CAST(o_orderkey % 6 AS INT) AS previous_bookings_not_canceled",
+        "CAST(o_totalprice AS DECIMAL(10,2)) AS avg_room_price",
+        "CAST(o_orderkey % 4 AS INT) AS special_requests",
+        "CASE WHEN o_orderstatus = 'P' THEN 'Canceled' ELSE 'Not_Canceled' END AS status",
     )
 
 
 def theaters(spark: SparkSession, folder: str) -> DataFrame:
     """Nested documents: one per customer, the address two levels down."""
-    address = F.struct(
-        F.concat(F.col("c_custkey").cast("string"), F.lit(" Main Street")).alias("street"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("state"),
-        (10000 + F.col("c_nationkey")).cast("string").alias("zipcode"),
-    )
-    return _customers_with_place(spark, folder).select(
-        F.col("c_custkey").cast("string").alias("_id"),
-        F.col("c_custkey").alias("theater_id"),
-        F.struct(address.alias("address")).alias("location"),
+    return _customers_with_place(spark, folder).selectExpr(
+        "CAST(c_custkey AS STRING) AS _id",
+        "c_custkey AS theater_id",
+        "named_struct('address', named_struct('street', concat(c_custkey, ' Main Street'), 'city', n_name, "
+        "'state', r_name, 'zipcode', CAST(10000 + c_nationkey AS STRING))) AS location",
     )
 
 
 def movies(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with an array; every 13th lacks the title, every 7th size the year, some the genres."""
-    words = F.split("p_name", " ")
-    first = F.get(words, F.lit(0))
-    genres = F.array(F.coalesce(map_values(first, _GENRE, None), first), F.get(words, F.lit(1)))
-    return sample(spark, folder, "part").select(
-        F.col("p_partkey").cast("string").alias("_id"),
-        F.when(~_is_multiple("p_partkey", 13), F.col("p_name")).alias("title"),
-        F.when(~_is_multiple("p_size", 7), F.col("p_size") + 1900).alias("year"),
-        F.when(_is_multiple("p_partkey", 19), F.array().cast("array<string>"))
-        .when(~_is_multiple("p_partkey", 23), genres)
-        .alias("genres"),
+    return sample(spark, folder, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS _id",
+        "CASE WHEN p_partkey % 13 <> 0 THEN p_name END AS title",
+        "CASE WHEN p_size % 7 <> 0 THEN p_size + 1900 END AS year",
+        "CASE WHEN p_partkey % 19 = 0 THEN CAST(array() AS ARRAY<STRING>) WHEN p_partkey % 23 <> 0 THEN "
+        "transform(split(p_name, ' '), (word, i) -> CASE WHEN i > 0 THEN word WHEN word = 'red' THEN 'Horror' "
+        "WHEN word = 'blue' THEN 'Film-Noir' WHEN word = 'hot' THEN 'Drama' ELSE word END) END AS genres",
     )
 
 
 def movie_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return sample(spark, folder, "lineitem").select(F.col("l_partkey").cast("string").alias("movie_id"))
+    return sample(spark, folder, "lineitem").selectExpr("CAST(l_partkey AS STRING) AS movie_id")
 
 
 def text_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return sample(spark, folder, "documents").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("name"), "text"
-    )
+    return sample(spark, folder, "documents").selectExpr("doc_id AS _id", "source AS name", "text")
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    """The customer file as it arrives: text dates, several spellings, missing values as text."""
-    key = F.col("customer_id")
-    state = F.coalesce(map_values(F.col("state"), _STATE, None), F.col("state"))
-    industry = F.when(
-        F.col("job_industry_category").isNull() & (key % 2 == 0), "N/A"
-    ).otherwise(F.col("job_industry_category"))
-    nation = F.regexp_extract("last_name", r"(\d+)$", 1).cast("int")
-    postcode = 4000 + F.floor(nation / 2) * 10 + key % 10
-    return shop_customer(spark, folder).select(
-        "customer_id", "first_name", "last_name",
-        map_values(key % 6, {0: "Male", 1: "Female", 2: "F", 3: "U", 4: "M"}, "Femal").alias("gender"),
-        F.when(key % 19 == 0, "unknown").otherwise(F.date_format("dob", "yyyy-MM-dd")).alias("DOB"),
+    """The customer file as it arrives: text dates, several spellings, missing values as text.
+
+    Two spellings of one state, one state name in two countries, postcodes shared by two states.
+    """
+    return shop_customer(spark, folder).selectExpr(
+        "customer_id",
+        "first_name",
+        "last_name",
+        "CASE customer_id % 6 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' WHEN 2 THEN 'F' WHEN 3 THEN 'U' "
+        "WHEN 4 THEN 'M' ELSE 'Femal' END AS gender",
+        "CASE WHEN customer_id % 19 = 0 THEN 'unknown' ELSE date_format(dob, 'yyyy-MM-dd') END AS DOB",
         "job_title",
-        industry.alias("job_industry_category"),
+        "CASE WHEN job_industry_category IS NULL AND customer_id % 2 = 0 THEN 'N/A' "
+        "ELSE job_industry_category END AS job_industry_category",
         "wealth_segment",
-        F.when(key % 29 != 0, F.col("deceased_indicator")).alias("deceased_indicator"),
-        F.when(key % 31 != 0, F.col("owns_car")).alias("owns_car"),
+        "CASE WHEN customer_id % 29 <> 0 THEN deceased_indicator END AS deceased_indicator",
+        "CASE WHEN customer_id % 31 <> 0 THEN owns_car END AS owns_car",
         "address",
-        postcode.cast("string").alias("postcode"),
-        state.alias("state"),
+        "CAST(4000 + CAST(split_part(last_name, '_', 2) AS INT) DIV 2 * 10 + customer_id % 10 AS STRING) "
+        "AS postcode",
+        "CASE state WHEN 'NATION_1' THEN 'VIC' WHEN 'NATION_6' THEN 'Victoria' "
+        "WHEN 'NATION_2' THEN 'New South Wales' WHEN 'NATION_7' THEN 'NSW' "
+        "WHEN 'NATION_3' THEN 'Border' WHEN 'NATION_4' THEN 'Border' ELSE state END AS state",
         "country",
-        F.col("property_valuation").cast("smallint").alias("property_valuation"),
+        "CAST(property_valuation AS SMALLINT) AS property_valuation",
     )
 
 
@@ -195,32 +167,23 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """The transaction file as it arrives: one row per order line, product attributes repeated."""
     lines = (
         sample(spark, folder, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
+        .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"))
         .agg(F.min("l_partkey").alias("product_id"), F.min("l_extendedprice").alias("price"))
     )
-    orders = shop_orders(spark, folder)
-    product = shop_product(spark, folder)
-
-    def with_comma(amount):
-        return F.replace(amount.cast("decimal(10,2)").cast("string"), F.lit("."), F.lit(","))
-
-    key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    cost = F.when(F.col("brand").isNotNull(), with_comma(F.col("standard_cost")))
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("order_id"))
-        .join(product.drop("list_price"), "product_id")
-        .select(
-            key.alias("transaction_id"),
-            "product_id",
-            "customer_id",
-            F.date_format("order_date", "M/d/yyyy").alias("transaction_date"),
-            F.initcap(F.col("online_order").cast("string")).alias("online_order"),
-            "order_status",
-            "brand",
-            "product_line",
-            "product_class",
-            "product_size",
-            F.when(key % 53 == 0, "abc").otherwise(with_comma(F.col("price"))).alias("list_price"),
-            cost.alias("standard_cost"),
-        )
+    product = shop_product(spark, folder).drop("list_price")
+    joined = lines.join(shop_orders(spark, folder), "order_id").join(product, "product_id")
+    return joined.selectExpr(
+        "order_id * 10 + line AS transaction_id",
+        "product_id",
+        "customer_id",
+        "date_format(order_date, 'M/d/yyyy') AS transaction_date",
+        "initcap(CAST(online_order AS STRING)) AS online_order",
+        "order_status",
+        "brand",
+        "product_line",
+        "product_class",
+        "product_size",
+        "CASE WHEN (order_id * 10 + line) % 53 = 0 THEN 'abc' "
+        "ELSE replace(CAST(CAST(price AS DECIMAL(10,2)) AS STRING), '.', ',') END AS list_price",
+        "CASE WHEN brand IS NOT NULL THEN replace(CAST(standard_cost AS STRING), '.', ',') END AS standard_cost",
     )
