@@ -115,7 +115,7 @@ _VIEWS = {
           UNION SELECT 'wealth_segments', wealth_segment FROM raw_customer_v) WHERE name IS NOT NULL""",
     "member_v": """
         SELECT dimension, name,
-          row_number() OVER (PARTITION BY dimension ORDER BY left(md5(name), 2), name) AS id
+          row_number() OVER (PARTITION BY dimension ORDER BY left(md5(name), 3), name) AS id
         FROM (SELECT * FROM customer_name_v UNION ALL SELECT * FROM transaction_name_v)""",
     "fact_product_v": """
         SELECT f.product_id, coalesce(b.id, 0) AS brand_id, coalesce(pl.id, 0) AS product_line_id,
@@ -340,18 +340,18 @@ _QUERIES = {
           SELECT dimension, name, (dimension, name) NOT IN (SELECT (dimension, name) FROM early) AS added
           FROM everything)
         SELECT dimension, name, added, row_number() OVER (
-          PARTITION BY dimension ORDER BY added, left(md5(name), 2), name) AS id
+          PARTITION BY dimension ORDER BY added, left(md5(name), 3), name) AS id
         FROM staged""",
     "dim_load_location": """
         , place AS (
           SELECT DISTINCT country, CASE state WHEN 'VIC' THEN 'Victoria' WHEN 'New South Wales' THEN 'NSW'
             ELSE state END AS state, postcode FROM raw_customer_v),
         countries AS (
-          SELECT country, row_number() OVER (ORDER BY left(md5(country), 2), country) AS id
+          SELECT country, row_number() OVER (ORDER BY left(md5(country), 3), country) AS id
           FROM (SELECT DISTINCT country FROM place)),
         states AS (
           SELECT state, country, country_id, row_number() OVER (
-            ORDER BY left(md5(state || '|' || country_id), 2), state, country_id) AS id
+            ORDER BY left(md5(state || '|' || country_id), 3), state, country_id) AS id
           FROM (SELECT DISTINCT state, country, id AS country_id FROM place JOIN countries USING (country)))
         SELECT 'country' AS "level", id, country AS name, CAST(NULL AS BIGINT) AS parent_id FROM countries
         UNION ALL SELECT 'state', id, state, country_id FROM states
@@ -359,7 +359,7 @@ _QUERIES = {
           FROM place JOIN states USING (state, country) GROUP BY postcode""",
     "dim_surrogate_key": """
         SELECT dimension, name, row_number() OVER (
-          PARTITION BY dimension ORDER BY left(md5(name), 2), name) AS id
+          PARTITION BY dimension ORDER BY left(md5(name), 3), name) AS id
         FROM (SELECT DISTINCT 'brands' AS dimension, p_brand AS name FROM part
               UNION ALL SELECT DISTINCT 'product_names', p_name FROM part)""",
     "dim_unknown_member": """
@@ -369,7 +369,7 @@ _QUERIES = {
           UNION SELECT 'product_classes', product_class FROM product_v
           UNION SELECT 'product_sizes', product_size FROM product_v)
         SELECT dimension, name, row_number() OVER (
-          PARTITION BY dimension ORDER BY left(md5(name), 2), name) AS id FROM named
+          PARTITION BY dimension ORDER BY left(md5(name), 3), name) AS id FROM named
         UNION ALL SELECT DISTINCT dimension, 'Unknown', 0 FROM named""",
     "fact_products": """
         SELECT product_id, brand_id, product_line_id, product_class_id, product_size_id,
@@ -378,7 +378,7 @@ _QUERIES = {
     "fact_customers": """
         , member AS (
           SELECT dimension, name, row_number() OVER (
-            PARTITION BY dimension ORDER BY left(md5(name), 2), name) AS id FROM customer_name_v)
+            PARTITION BY dimension ORDER BY left(md5(name), 3), name) AS id FROM customer_name_v)
         SELECT customer_id, first_name, last_name,
           CASE gender WHEN 'Male' THEN 'M' WHEN 'Female' THEN 'F' WHEN 'F' THEN 'F' ELSE 'U' END AS gender,
           TRY_CAST(dob_text AS DATE) AS dob, job_title, i.id AS job_industry_category_id, w.id AS wealth_segment_id,

@@ -1,0 +1,104 @@
+import json
+
+import pytest
+from pyspark.sql import Observation
+
+from conftest import bag, rows
+from tradeloom import schemas
+from tradeloom.constants import NO_TITLE
+from tradeloom.plans import documents
+from tradeloom.sources.files import read_documents
+
+
+@pytest.fixture(scope="module")
+def collections(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("documents")
+
+    def collection(name, schema, docs):
+        (base / f"{name}.json").write_text("\n".join(json.dumps(d) for d in docs))
+        return read_documents(spark, str(base / f"{name}.json"), schema)
+
+    place = lambda city, state: {"location": {"address": {"city": city, "state": state}}}
+    return {
+        "theaters": collection(
+            "theaters", schemas.THEATER,
+            [
+                {"_id": "1", "theater_id": 10, **place("Florence", "KY")},
+                {"_id": "2", "theater_id": 11, **place("Florence", "AZ")},
+                {"_id": "3", "theater_id": 12, "location": {}},
+                {"_id": "4"},
+            ],
+        ),
+        "comments": collection(
+            "comments", schemas.COMMENT,
+            [
+                {"_id": "b", "name": "Ann", "movie_id": "m1", "text": "second"},
+                {"_id": "a", "name": "Ann", "movie_id": "m1", "text": "first"},
+                {"_id": "c", "name": "Bob", "movie_id": "m2", "text": "x"},
+                {"_id": "d", "name": "Bob", "movie_id": "gone", "text": "x"},
+                {"_id": "e", "name": "Bob", "text": "x"},
+                {"_id": "f", "name": "Bob", "movie_id": "m3", "text": "x"},
+            ],
+        ),
+        "movies": collection(
+            "movies", schemas.MOVIE,
+            [
+                {"_id": "m1", "title": "One", "year": 1940, "genres": ["Horror", "Drama"]},
+                {"_id": "m2", "title": "Two", "year": 1949, "genres": ["Film-Noir"]},
+                {"_id": "m3", "title": "Three", "genres": ["Horror"]},
+                {"_id": "m4", "year": 1945, "genres": ["Horror"]},
+                {"_id": "m5", "title": "Five", "year": "1945", "genres": ["Horror"]},
+                {"_id": "m6", "title": "Six", "year": 1945, "genres": []},
+                {"_id": "m7", "title": "Seven", "year": 1945},
+                {"_id": "m8", "title": "Eight", "year": 1945, "genres": ["Drama", "Horror"]},
+                {"_id": "m9", "title": "Nine", "year": 1950, "genres": ["Horror"]},
+            ],
+        ),
+    }
+
+
+def test_nested_paths_are_combined(collections):
+    found = documents.find(
+        collections["theaters"], {"location.address.city": "Florence", "location.address.state": "KY"}
+    )
+    assert found.columns == ["_id", "theater_id", "location"]
+    assert [r["theater_id"] for r in found.collect()] == [10]
+
+
+def test_find_one(collections):
+    assert documents.find_one(collections["comments"], {"name": "Ann"}).first()["text"] == "first"
+    assert documents.find_one(collections["comments"], {"name": "Nobody"}).count() == 0
+
+
+def test_first_genre_count(collections):
+    assert rows(documents.count_first_genre(collections["movies"], "Horror")) == [(5,)]
+
+
+def test_genre_or_and_year_range(collections):
+    seen = Observation("movies")
+    found = documents.released_with_first_genre(collections["movies"], ("Film-Noir", "Horror"), 1940, 1949, seen)
+    # A text year is no number, so it is in no range of numbers.
+    assert bag(found) == bag_of(
+        ("One", "1940", ["Horror", "Drama"]), ("Two", "1949", ["Film-Noir"]), (NO_TITLE, "1945", ["Horror"])
+    )
+    assert seen.get == {"total": 3}
+
+
+def bag_of(*expected):
+    return sorted(expected, key=repr)
+
+
+def test_projection_keeps_missing_fields(collections):
+    found = documents.released_title_and_year(collections["movies"], ("Film-Noir", "Horror"), 1940, 1949)
+    assert found.columns == ["title", "year"]
+    assert bag(found) == bag_of(("One", 1940), ("Two", 1949), (None, 1945))
+
+
+def test_comment_counts_drop_unknown_movies(collections):
+    got = rows(documents.comment_counts(collections["comments"], collections["movies"]))
+    assert got == [(2, "One", 1940), (1, "Two", 1949), (1, "Three", None)]
+
+
+def test_limit_applies_after_the_lookup(collections):
+    got = rows(documents.most_commented(collections["comments"], collections["movies"], 3))
+    assert got == [(1, "One (1940)", 2), (2, "Two (1949)", 1), (3, "Three (N/A)", 1)]

@@ -1,0 +1,133 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from conftest import bag, rows
+from tradeloom import schemas
+from tradeloom.operators.ranking import keep_best
+from tradeloom.sources import batches, catalog, files
+from tradeloom.sources.settled import settle
+
+
+def write(path, text):
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_csv_with_schema_delimiter_and_dates(spark, tmp_path):
+    path = write(
+        tmp_path / "orders.csv",
+        "order_id;customer_id;order_date;online_order;order_status\n1;7;31.01.2017;true;Approved\n2;;bad;;\n",
+    )
+    df = files.read_csv(spark, path, schemas.ORDERS, delimiter=";", date_format="dd.MM.yyyy")
+    assert df.schema == schemas.ORDERS
+    assert rows(df) == [(1, 7, date(2017, 1, 31), True, "Approved"), (2, None, None, None, None)]
+
+
+def test_csv_bad_cell_is_null(spark, tmp_path):
+    names = ",".join(f.name for f in schemas.BOOKING.fields)
+    cells = "B1,two,1,0,3,Meal,0,Room,5,2018,2,28,Online,0,0,0,106.68,0,Canceled"
+    row = files.read_csv(spark, write(tmp_path / "b.csv", f"{names}\n{cells}\n"), schemas.BOOKING).first()
+    assert row["n_adults"] is None and row["avg_room_price"] == 106.68 and row["status"] == "Canceled"
+
+
+def test_csv_missing_text_is_an_option(spark, tmp_path):
+    names = ",".join(f.name for f in schemas.PRODUCT.fields)
+    path = write(tmp_path / "p.csv", f"{names}\n1,n/a,Road,low,small,10.50,NULL\n")
+    assert files.read_csv(spark, path, schemas.PRODUCT).first()["brand"] == "n/a"
+    cleaned = files.read_csv(spark, path, schemas.PRODUCT, na_text_is_null=True).first()
+    assert cleaned["brand"] is None and cleaned["list_price"] == Decimal("10.50") and cleaned["standard_cost"] is None
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    path = write(
+        tmp_path / "x.csv", "note,ORDER_STATUS,order_date,order_id,customer_id,online_order\nhi,Approved,2017-01-02,1,2,\n"
+    )
+    assert rows(files.read_csv(spark, path, schemas.ORDERS)) == [(1, 2, date(2017, 1, 2), None, "Approved")]
+
+
+def test_csv_without_a_wanted_column_is_refused(spark, tmp_path):
+    path = write(tmp_path / "x.csv", "id,customer_id,order_date,online_order,order_status\n1,2,2017-01-01,true,x\n")
+    with pytest.raises(ValueError, match="order_id"):
+        files.read_csv(spark, path, schemas.ORDERS)
+
+
+def test_missing_input_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException) as error:
+        files.read_csv(spark, str(tmp_path / "nothing.csv"), schemas.ORDERS)
+    assert error.value.getCondition() == "PATH_NOT_FOUND"
+
+
+def test_missing_target_is_empty_and_vanishes_from_plans(spark, tmp_path):
+    none = files.read_or_empty(spark, str(tmp_path / "nothing"), schemas.MEMBERS)
+    assert none.schema == schemas.MEMBERS and none.count() == 0
+    df = spark.createDataFrame([(1, "a")], "id bigint, name string")
+    plan = df.join(none, "id", "left_anti")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_append_replace_and_read_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    files.append_dataset(df, path)
+    files.append_dataset(df, path)
+    assert files.read_or_empty(spark, path, df.schema).count() == 4
+    files.replace_dataset(df.limit(1), path)
+    assert files.read_or_empty(spark, path, df.schema).count() == 1
+
+
+def test_report_is_csv_with_header(spark, tmp_path):
+    path = str(tmp_path / "report")
+    files.write_report(spark.createDataFrame([(1, "a,b")], "id int, name string"), path)
+    assert rows(spark.read.option("header", True).csv(path)) == [("1", "a,b")]
+
+
+def test_unpublished_batches_stay_invisible(spark, tmp_path):
+    base, schema = str(tmp_path), spark.createDataFrame([], "id int").schema
+
+    def stage(batch, *ids):
+        batches.stage_rows(spark.createDataFrame([(i,) for i in ids], schema), base, "t", batch)
+
+    def visible():
+        upto = batches.published_batch(spark, base, "step")
+        return bag(batches.read_batches(spark, base, "t", schema, upto))
+
+    assert visible() == []
+    stage(1, 1, 2)
+    assert visible() == []
+    batches.publish_batch(spark, base, "step", 1)
+    assert visible() == [(1,), (2,)]
+    stage(2, 98, 99)  # fails before publishing
+    assert visible() == [(1,), (2,)]
+    stage(2, 3)  # next attempt replaces the leftovers
+    batches.publish_batch(spark, base, "step", 2)
+    assert visible() == [(1,), (2,), (3,)]
+    assert batches.published_batch(spark, base, "other step") == 0
+
+
+def test_settled_table_is_read_from_disk(spark):
+    df = spark.range(5).selectExpr("id", "CAST(id AS STRING) AS name")
+    settled = settle(df, "numbers")
+    assert bag(settled) == bag(df) and settled.schema.names == ["id", "name"]
+    assert settled.inputFiles()
+
+
+def test_views_and_tables(spark):
+    catalog.create_tables(spark, "shop_db", {"product": schemas.PRODUCT})
+    catalog.create_tables(spark, "shop_db", {"product": schemas.PRODUCT})
+    assert spark.table("shop_db.product").schema == schemas.PRODUCT
+    catalog.register_views({"few": spark.range(3)})
+    assert spark.sql("SELECT count(*) FROM few").first()[0] == 3
+
+
+def test_table_is_swapped_for_its_own_deduplication(spark):
+    catalog.create_tables(spark, "swap_db", {"product": schemas.PRODUCT})
+    row = lambda i, price: (i, "b", "Road", "low", "small", price and Decimal(price), Decimal(1))
+    spark.createDataFrame([row(1, "5"), row(1, "9"), row(2, None), row(2, "3")], schemas.PRODUCT).write.insertInto(
+        "swap_db.product"
+    )
+    best = keep_best(spark.table("swap_db.product"), ["product_id"], "list_price", ["product_id"])
+    catalog.swap_table(best, "swap_db.product")
+    assert bag(spark.table("swap_db.product").select("product_id", "list_price")) == [(1, Decimal("9.00")), (2, None)]

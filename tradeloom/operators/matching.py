@@ -41,13 +41,16 @@ def flag_parent(df: DataFrame, parent: DataFrame, key: str, flag: str) -> DataFr
 def reject_orphans(
     df: DataFrame, parent: DataFrame, key: str, seen: Observation | None = None
 ) -> DataFrame:
-    """Rows with a parent. `seen` receives `kept` and `dropped` from the same pass that uses them."""
+    """Rows with a parent. `seen` receives `kept` and `dropped` from the same pass that uses them.
+
+    Spark may count a row twice in `seen` if it has to repeat a lost task, so the counts are for logs.
+    """
+    if seen is None:
+        return df.join(parent.select(key), key, "left_semi").select(*df.columns)
     flag = "__has_parent"
-    flagged = flag_parent(df, parent, key, flag)
-    if seen is not None:
-        flagged = flagged.observe(
-            seen,
-            F.count_if(F.col(flag)).alias("kept"),
-            F.count_if(~F.col(flag)).alias("dropped"),
-        )
-    return flagged.filter(flag).drop(flag)
+    flagged = flag_parent(df, parent, key, flag).observe(
+        seen,
+        F.count_if(F.col(flag)).alias("kept"),
+        F.count_if(~F.col(flag)).alias("dropped"),
+    )
+    return flagged.filter(flag).select(*df.columns)

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Members are spread over this many buckets by a digest of their name (two hexadecimal digits).
-BUCKET_DIGITS = 2
+# Members are spread over this many buckets by a digest of their name (three hexadecimal digits).
+BUCKET_DIGITS = 3
 
 
 def number_members(
@@ -25,7 +25,7 @@ def number_members(
     run gives the same ids, and members that have an id keep it.
 
     Numbering is in two levels, so that no task sees all members: each bucket counts its own, and a
-    running total over at most 256 buckets says where each starts.
+    running total over at most 4096 buckets says where each starts.
     """
     keys = list(within)
     digest = F.md5(F.concat_ws("|", *names))

@@ -29,6 +29,8 @@ from tradeloom.sources.batches import (
 from tradeloom.sources.catalog import register_views
 from tradeloom.sources.files import read_csv, replace_dataset, write_report
 
+FILE_POSITION = "file_position"
+
 DIMENSION_TABLES = {
     "countries": schemas.COUNTRIES,
     "states": schemas.STATES,
@@ -74,12 +76,25 @@ def load_warehouse(spark: SparkSession, customer_csv: str, transaction_csv: str,
     `base` must be storage all executors share. Dimensions are published first; the three fact tables
     follow together or not at all.
     """
-    raw_customers = read_csv(spark, customer_csv, schemas.RAW_CUSTOMER, na_text_is_null=True)
-    raw_transactions = read_csv(spark, transaction_csv, schemas.RAW_TRANSACTION, na_text_is_null=True)
+    raw_customers = _landed(
+        read_csv(spark, customer_csv, schemas.RAW_CUSTOMER, na_text_is_null=True), f"{base}/_landing/customers"
+    )
+    raw_transactions = _landed(
+        read_csv(
+            spark, transaction_csv, schemas.RAW_TRANSACTION, na_text_is_null=True, position=FILE_POSITION
+        ),
+        f"{base}/_landing/transactions",
+    )
     load_dimensions(spark, raw_customers, raw_transactions, base)
     return load_facts(spark, raw_customers, raw_transactions, base)
 
 
+def _landed(df: DataFrame, path: str) -> DataFrame:
+    """The parsed file in columns. Text is parsed once; later steps read only the columns they need."""
+    replace_dataset(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_dimensions(
     spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame, base: str
 ) -> int:
@@ -111,7 +126,7 @@ def load_facts(
     orphans = Observation("transactions")
     known = raw_customers.select("customer_id")
     new = {
-        "products": warehouse.products(raw_transactions, members, tables["products"]),
+        "products": warehouse.products(raw_transactions, members, tables["products"], FILE_POSITION),
         "customers": warehouse.customers(raw_customers, members, tables["customers"]),
         "transactions": warehouse.transactions(
             raw_transactions, known, members, tables["transactions"], orphans

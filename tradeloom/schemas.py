@@ -30,7 +30,7 @@ def _table(**columns: DataType) -> StructType:
 CUSTOMER = _table(
     customer_id=LONG, first_name=TEXT, last_name=TEXT, gender=TEXT, dob=DATE, job_title=TEXT,
     job_industry_category=TEXT, wealth_segment=TEXT, deceased_indicator=TEXT, owns_car=TEXT,
-    address=TEXT, postcode=TEXT, state=TEXT, country=TEXT, property_valuation=INT,
+    address=TEXT, postcode=INT, state=TEXT, country=TEXT, property_valuation=INT,
 )
 PRODUCT = _table(
     product_id=LONG, brand=TEXT, product_line=TEXT, product_class=TEXT, product_size=TEXT,

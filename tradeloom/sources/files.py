@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tradeloom.functions import blank_to_null
 
@@ -17,21 +17,34 @@ def read_csv(
     delimiter: str = ",",
     date_format: str = "yyyy-MM-dd",
     na_text_is_null: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
-    """CSV with a header line and a declared schema; a cell that does not fit its type is NULL.
+    """CSV with a header line: columns by name, types from `schema`, a cell that does not fit is NULL.
 
-    Quoted cells may hold line breaks only if the caller splits such files beforehand: `multiLine`
-    stays off because it would make every file a single task.
+    The header is read first (one line); columns beyond the schema are skipped by the parser. Cells
+    with line breaks are not supported: `multiLine` would make every file a single task.
+
+    `position` names a column to add that sorts rows as they stand in their file: the byte offset of
+    the block a task read, then the order of reading within it.
     """
+    reader = spark.read.option("header", True).option("sep", delimiter)
+    wanted = {f.name.lower(): f for f in schema.fields}
+    header = reader.csv(path).columns
+    missing = wanted.keys() - {name.lower() for name in header}
+    if missing:
+        raise ValueError(f"{path} lacks the columns {sorted(missing)}")
+    in_file = [wanted.get(name.lower(), StructField(name, StringType())) for name in header]
     df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", delimiter)
+        reader.schema(StructType(in_file))
         .option("dateFormat", date_format)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", False)
         .csv(path)
     )
+    place = F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")
+    )
+    df = df.select(*schema.names, *([place.alias(position)] if position else []))
     return blank_to_null(df) if na_text_is_null else df
 
 
