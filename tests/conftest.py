@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         "tests",
         master="local[4]",
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="2000",
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__ui__showConsoleProgress="false",

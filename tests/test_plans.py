@@ -1,0 +1,94 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as contract
+from shop_data import frames, make_shop
+from tradeloom.plans import shop, shop_windows
+from tradeloom.sources import samples
+
+# Row-at-a-time Python, products of two tables, comparisons of all pairs.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
+# Windows over all rows, allowed only where the rows are few by construction.
+ONE_TASK_WINDOW = {"booking_daily_occupancy", "doc_top20_commented"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_plan_is_free_of_slow_operators(name, spark, folder):
+    text = plan(contract.queries()[name](spark, folder))
+    for operator in FORBIDDEN:
+        assert operator not in text
+    unpartitioned = re.search(r"Window \[.*\], \[[^\[\]]*(ASC|DESC)", text) and re.search(
+        r"SinglePartition.*\n(.*\n){0,3}", text
+    )
+    if name not in ONE_TASK_WINDOW and unpartitioned:
+        # A single partition is fine for a total over partial sums, not below a window.
+        assert not re.search(r"Window [^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*SinglePartition", text)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """A shop in parquet with its own column names, as a user would have it."""
+    data = frames(spark, make_shop(1))
+    base = tmp_path_factory.mktemp("shop")
+    tables = {}
+    for name in ("customer", "product", "orders", "items"):
+        getattr(data, name).write.parquet(f"{base}/{name}")
+        tables[name] = spark.read.parquet(f"{base}/{name}")
+    return tables
+
+
+def test_filters_and_columns_reach_the_scan(stored):
+    from datetime import date
+
+    text = plan(shop.daily_online_orders(stored["orders"], date(2017, 1, 1), date(2017, 2, 1)))
+    assert "EqualTo(order_status,Approved)" in text and "EqualTo(online_order,true)" in text
+    assert "GreaterThanOrEqual(order_date,2017-01-01)" in text and "LessThanOrEqual(order_date,2017-02-01)" in text
+    text = plan(shop_windows.monthly_revenue(stored["customer"], stored["orders"], stored["items"]))
+    assert "ReadSchema: struct<order_id:bigint,quantity:int,item_list_price_at_sale:decimal(10,2)>" in text
+    assert "ReadSchema: struct<customer_id:bigint,job_industry_category:string>" in text
+
+
+def test_set_difference_reads_the_items_once(stored):
+    df = shop.bought_by_one_industry_only(
+        stored["customer"], stored["product"], stored["orders"], stored["items"], "IT", "Health"
+    )
+    assert plan(df).count("ReadSchema: struct<order_id:bigint,product_id:bigint>") == 1
+
+
+def test_groups_are_cut_before_the_shuffle(stored):
+    text = plan(shop_windows.second_orders(stored["orders"]))
+    assert re.search(r"row_number\(\), 2, Final.*Exchange.*row_number\(\), 2, Partial", text, re.S)
+
+
+def test_orders_of_a_customer_are_combined_before_the_shuffle(stored):
+    text = plan(shop_windows.order_stats_windowed(stored["orders"], stored["items"]))
+    assert re.search(r"Window \[.*Exchange hashpartitioning\(customer_id.*partial_sum\(order_value", text, re.S)
+
+
+def test_large_sides_are_shuffled_not_broadcast(spark, stored):
+    """Nothing is broadcast by hint: with the size threshold off no plan broadcasts anything."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = stored["customer"], stored["product"], stored["orders"], stored["items"]
+        for df in (
+            shop.top_online_buyers(*tables, brands=["Solex"]),
+            shop.buyers_of_top_products(*tables),
+            shop_windows.online_orders_by_product_group(*tables),
+            shop_windows.top_customers_per_segment(stored["customer"], stored["orders"], stored["items"]),
+        ):
+            assert "Broadcast" not in plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_samples_prune_columns(spark, folder):
+    text = plan(samples.shop_order_items(spark, folder).select("order_id", "product_id"))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in text
