@@ -287,6 +287,11 @@ def _product_members(spark, found):
     return dimensions.with_unknown_members(_members(spark, found), warehouse.PRODUCT_DIMENSIONS)
 
 
+def _raw_transactions(spark, folder):
+    """The wide file, landed once for the several steps that read it, as the load job does."""
+    return settle(samples.raw_transactions(spark, folder), "raw_transactions")
+
+
 def _living_customers(spark, folder):
     return samples.shop_customer(spark, folder).filter(F.col("deceased_indicator") == "N")
 
@@ -319,7 +324,7 @@ def incremental_append(spark, folder):
 def dim_load_simple(spark, folder):
     """All simple dimensions when the transactions of the first days are loaded already."""
     raw_customers = samples.raw_customers(spark, folder)
-    raw_transactions = samples.raw_transactions(spark, folder)
+    raw_transactions = _raw_transactions(spark, folder)
     early = raw_transactions.filter(F.to_date("transaction_date", "M/d/yyyy") < F.lit(LOADED_BEFORE))
     loaded = _members(spark, dimensions.distinct_members(early, warehouse.TRANSACTION_DIMENSIONS))
     added = dimensions.new_members(warehouse.found_members(raw_customers, raw_transactions), loaded)
@@ -366,7 +371,7 @@ def dim_unknown_member(spark, folder):
 
 @_query
 def fact_products(spark, folder):
-    raw = samples.raw_transactions(spark, folder)
+    raw = _raw_transactions(spark, folder)
     members = _product_members(spark, dimensions.distinct_members(raw, warehouse.PRODUCT_DIMENSIONS))
     return warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))
 
@@ -384,7 +389,7 @@ def fact_customers(spark, folder):
 
 @_query
 def fact_transactions(spark, folder):
-    raw = samples.raw_transactions(spark, folder)
+    raw = _raw_transactions(spark, folder)
     members = _members(spark, dimensions.distinct_members(raw, {"order_statuses": "order_status"}))
     known = _living_customers(spark, folder)
     return warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
@@ -392,7 +397,7 @@ def fact_transactions(spark, folder):
 
 @_query
 def report_transactions_wide(spark, folder):
-    raw = settle(samples.raw_transactions(spark, folder), "raw_transactions")
+    raw = _raw_transactions(spark, folder)
     found = dimensions.distinct_members(raw, warehouse.TRANSACTION_DIMENSIONS)
     members = settle(_product_members(spark, found), "members")
     product = warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))

@@ -98,3 +98,18 @@ def test_rounded_mean_half_goes_up(spark):
 def test_title_with_year(spark):
     df = spark.createDataFrame([("A", 1940), ("B", None), (None, 1940)], "t string, y int")
     assert rows(df.select(fn.title_with_year(F.col("t"), F.col("y")))) == [("A (1940)",), ("B (N/A)",), (None,)]
+
+
+def test_summed_product_is_exact_on_both_paths(spark):
+    data = [(1, 3, "0.10"), (1, -2, "19.99"), (1, 7, "-1.50"), (1, None, "5.00"), (1, 5, None), (2, None, "1.00")]
+    for money_type in ("decimal(10,2)", "decimal(20,4)"):
+        df = spark.createDataFrame(data, "k int, q int, p string").withColumn("p", F.col("p").cast(money_type))
+        got = df.groupBy("k").agg(fn.summed_product(df, "q", "p").alias("s")).orderBy("k")
+        assert [(r["k"], r["s"]) for r in got.collect()] == [(1, Decimal("-50.18")), (2, None)]
+
+
+def test_summed_product_holds_more_than_a_long_of_cents(spark):
+    df = spark.range(40).select(
+        F.lit(2_000_000_000).alias("q"), F.lit(Decimal("99999999.99")).cast("decimal(10,2)").alias("p")
+    )
+    assert df.agg(fn.summed_product(df, "q", "p")).first()[0] == 40 * 2_000_000_000 * Decimal("99999999.99")

@@ -8,10 +8,11 @@ row per customer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.constants import APPROVED
+from tradeloom.functions import summed_product
 
 CUSTOMER_NAMES = ("customer_id", "first_name", "last_name")
 
@@ -20,8 +21,10 @@ def approved(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("order_status") == APPROVED)
 
 
-def line_amount() -> Column:
-    return F.col("quantity") * F.col("item_list_price_at_sale")
+def order_amounts(items: DataFrame) -> DataFrame:
+    """(order_id, amount): what the items of an order add up to."""
+    amount = summed_product(items, "quantity", "item_list_price_at_sale")
+    return items.groupBy("order_id").agg(amount.alias("amount"))
 
 
 def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -29,10 +32,9 @@ def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
 
     Both sides arrive partitioned by order id, so the grouping after the join needs no shuffle.
     """
-    per_order = items.groupBy("order_id").agg(F.sum(line_amount()).alias("amount"))
     return (
         orders.select("order_id", "customer_id")
-        .join(per_order, "order_id")
+        .join(order_amounts(items), "order_id")
         .groupBy("customer_id", "order_id")
         .agg(F.sum("amount").alias("order_value"))
     )
@@ -40,10 +42,9 @@ def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def customer_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     """(customer_id, revenue) of the customers with items in `orders`."""
-    per_order = items.groupBy("order_id").agg(F.sum(line_amount()).alias("amount"))
     return (
         orders.select("order_id", "customer_id")
-        .join(per_order, "order_id")
+        .join(order_amounts(items), "order_id")
         .groupBy("customer_id")
         .agg(F.sum("amount").alias("revenue"))
     )

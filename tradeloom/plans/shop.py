@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradeloom.constants import MASS_CUSTOMER
 from tradeloom.functions import months_before, whole_years
 from tradeloom.operators.ranking import top_k
-from tradeloom.plans.revenue import CUSTOMER_NAMES, approved, line_amount
+from tradeloom.plans.revenue import CUSTOMER_NAMES, approved, order_amounts
 
 
 def _ordered_in(first: date, last: date) -> Column:
@@ -197,12 +197,11 @@ def loyal_high_revenue(
 
     One pass over all industries; `distinct` gives the set semantics of a union of one branch each.
     """
-    per_order = items.groupBy("order_id").agg(F.sum(line_amount()).alias("amount"))
     per_customer = (
         approved(orders)
         .filter(_ordered_in(first, last))
         .select("order_id", "customer_id")
-        .join(per_order, "order_id")
+        .join(order_amounts(items), "order_id")
         .groupBy("customer_id", "order_id")
         .agg(F.sum("amount").alias("amount"))
         .groupBy("customer_id")

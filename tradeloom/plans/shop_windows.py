@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions import rounded_mean
 from tradeloom.operators.ranking import nth_per_group, top_k, top_k_per_group
-from tradeloom.plans.revenue import approved, line_amount, named_customer_revenue, order_values
+from tradeloom.plans.revenue import approved, named_customer_revenue, order_amounts, order_values
 
 STATS = ("total_revenue", "max_order_value", "min_order_value", "orders_count", "avg_order_value")
 
@@ -30,11 +30,10 @@ def monthly_revenue(customer: DataFrame, orders: DataFrame, items: DataFrame) ->
     Summed per customer and month before the customer table is joined, so the join sees each customer
     at most once per month.
     """
-    per_order = items.groupBy("order_id").agg(F.sum(line_amount()).alias("amount"))
     per_customer = (
         approved(orders)
         .select("order_id", "customer_id", "order_date")
-        .join(per_order, "order_id")
+        .join(order_amounts(items), "order_id")
         .groupBy(
             "customer_id",
             F.year("order_date").alias("report_year"),
