@@ -400,7 +400,7 @@ def report_transactions_wide(spark, folder):
     raw = _raw_transactions(spark, folder)
     found = dimensions.distinct_members(raw, warehouse.TRANSACTION_DIMENSIONS)
     members = settle(_product_members(spark, found), "members")
-    product = warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))
+    product = settle(warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS)), "products")
     known = _living_customers(spark, folder)
     fact = warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
     return warehouse.wide_transactions(fact, product, members)

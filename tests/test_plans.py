@@ -92,3 +92,74 @@ def test_large_sides_are_shuffled_not_broadcast(spark, stored):
 def test_samples_prune_columns(spark, folder):
     text = plan(samples.shop_order_items(spark, folder).select("order_id", "product_id"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in text
+
+
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "60KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """A shop in which one customer, one order, one product and one state own a third of the rows each."""
+    base = tmp_path_factory.mktemp("skewed")
+    hot = "CASE WHEN xxhash64(id, {seed}) % 3 = 0 THEN 0 ELSE id % {n} END"
+    tables = {
+        "customer": spark.range(200_000).selectExpr(
+            "id AS customer_id", "concat('F', id) AS first_name", "'L' AS last_name",
+            "IF(id % 2 = 0, 'IT', 'Health') AS job_industry_category", "'N' AS deceased_indicator",
+            f"concat('S', {hot.format(seed=1, n=5000)}) AS state", "CAST(id % 12 AS INT) AS property_valuation",
+        ),
+        "product": spark.range(50_000).selectExpr(
+            "id AS product_id", "concat('B', id % 50) AS brand", "'Road' AS product_line",
+            "CAST(id % 90 AS DECIMAL(10,2)) AS list_price",
+        ),
+        "orders": spark.range(300_000).selectExpr(
+            "id AS order_id", f"{hot.format(seed=2, n=200_000)} AS customer_id", "DATE '2017-01-01' AS order_date",
+            "TRUE AS online_order", "'Approved' AS order_status",
+        ),
+        "items": spark.range(600_000).selectExpr(
+            "id AS order_item_id", f"{hot.format(seed=3, n=300_000)} AS order_id",
+            f"{hot.format(seed=4, n=50_000)} AS product_id", "1 AS quantity",
+            "CAST(9.99 AS DECIMAL(10,2)) AS item_list_price_at_sale",
+        ),
+    }
+    for name, df in tables.items():
+        df.repartition(8).write.parquet(f"{base}/{name}")
+    old = {key: spark.conf.get(key) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield {name: spark.read.parquet(f"{base}/{name}") for name in tables}
+    for key, value in old.items():
+        spark.conf.set(key, value)
+
+
+def split_joins(df):
+    """Joins in the final plan whose hot partitions were split."""
+    df.collect()
+    return plan(df).count("skew=true")
+
+
+def test_row_joins_on_a_hot_key_are_split(skewed):
+    """Rows that must meet before they can be summed: adaptive execution splits the hot partition."""
+    from tradeloom.operators import matching
+
+    customer, product, orders, items = (skewed[n] for n in ("customer", "product", "orders", "items"))
+    assert split_joins(matching.flag_parent(orders, customer, "customer_id", "known")) == 1
+    assert split_joins(matching.reject_orphans(orders, customer, "customer_id")) == 1
+    assert split_joins(shop.above_state_average(customer)) == 1
+    shop_tables = customer, product, orders, items
+    assert split_joins(shop.bought_by_one_industry_only(*shop_tables, "IT", "Health")) >= 2
+    assert split_joins(shop.top_online_buyers(*shop_tables, brands=[f"B{i}" for i in range(50)])) >= 1
+    assert split_joins(shop_windows.online_orders_by_product_group(*shop_tables)) >= 2
+
+
+def test_sums_need_no_splitting(skewed):
+    """A hot order or customer has been summed per task before any shuffle: every partition is small."""
+    df = shop_windows.customer_totals(skewed["customer"], skewed["orders"], skewed["items"])
+    assert df.filter("customer_id = 0").first()["revenue"] > 0
+    assert split_joins(df) == 0

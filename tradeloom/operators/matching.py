@@ -2,17 +2,29 @@
 
 No join here carries a `broadcast` hint. Spark broadcasts a side only while its size, estimated or
 measured after the shuffle, is below `spark.sql.autoBroadcastJoinThreshold`; beyond that both sides
-are shuffled and adaptive execution splits a partition that a hot key made too big.
+are shuffled and adaptive execution splits a partition that a hot key made too big. It can do that
+only where both sides come straight from a shuffle; `join_side_keys` sees to it for aggregated sides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def join_side_keys(*keys: str) -> list[Column]:
+    """Grouping columns for a table that is aggregated by `keys` and then joined on them to a table in
+    which a key may be hot.
+
+    The hash column changes no group, only the partitioning: after grouping by the keys alone the join
+    would read the result as it lies, and Spark could not split the other side's hot partition. The
+    price is one more shuffle of the aggregated side, the smaller one.
+    """
+    return [*(F.col(k) for k in keys), F.xxhash64(*keys).alias("__key_hash")]
+
+
 def resolve_id(
     df: DataFrame, column: str, lookup: DataFrame, name: str, id_column: str, default: int | None = None
 ) -> DataFrame:
@@ -34,7 +46,12 @@ def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> D
 
 def flag_parent(df: DataFrame, parent: DataFrame, key: str, flag: str) -> DataFrame:
     """Add boolean `flag`: does `key` exist in `parent`? A missing key has no parent."""
-    known = parent.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    known = (
+        parent.filter(F.col(key).isNotNull())
+        .groupBy(*join_side_keys(key))
+        .agg(F.lit(True).alias(flag))
+        .select(key, flag)
+    )
     return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

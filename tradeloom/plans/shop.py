@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.constants import MASS_CUSTOMER
 from tradeloom.functions import months_before, whole_years
+from tradeloom.operators.matching import join_side_keys
 from tradeloom.operators.ranking import top_k
 from tradeloom.plans.revenue import CUSTOMER_NAMES, approved, order_amounts
 
@@ -99,10 +100,13 @@ def _any_equal(column: str, value: str, name: str = "wanted") -> Column:
 
 def above_state_average(customer: DataFrame) -> DataFrame:
     """Customers whose property valuation exceeds the mean of all customers of their state."""
-    mean = customer.groupBy("state").agg(F.avg("property_valuation").alias("__state_mean"))
-    return customer.join(mean, "state").filter(F.col("property_valuation") > F.col("__state_mean")).drop(
-        "__state_mean"
+    mean = (
+        customer.groupBy(*join_side_keys("state"))
+        .agg(F.avg("property_valuation").alias("__state_mean"))
+        .select("state", "__state_mean")
     )
+    above = F.col("property_valuation") > F.col("__state_mean")
+    return customer.join(mean, "state").filter(above).drop("__state_mean")
 
 
 def top_online_buyers(
