@@ -95,6 +95,7 @@ def test_samples_prune_columns(spark, folder):
 
 
 SKEW_SETTINGS = {
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",

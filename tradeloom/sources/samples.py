@@ -8,10 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+# Looking up the schema of a file is a Spark job of its own; once per file is enough.
+_schemas: dict[str, StructType] = {}
 
 
 def sample(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    path = f"{folder}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _customers_with_place(spark: SparkSession, folder: str) -> DataFrame:
