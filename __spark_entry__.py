@@ -284,7 +284,10 @@ def _members(spark, found):
 
 
 def _product_members(spark, found):
-    return dimensions.with_unknown_members(_members(spark, found), warehouse.PRODUCT_DIMENSIONS)
+    """The same with the unknown members the products may refer to."""
+    nothing = empty(spark, schemas.MEMBERS)
+    unknown = dimensions.missing_unknown_members(nothing, warehouse.PRODUCT_DIMENSIONS)
+    return settle(dimensions.new_members(found, nothing).unionByName(unknown), "members")
 
 
 def _raw_transactions(spark, folder):
@@ -399,7 +402,7 @@ def fact_transactions(spark, folder):
 def report_transactions_wide(spark, folder):
     raw = _raw_transactions(spark, folder)
     found = dimensions.distinct_members(raw, warehouse.TRANSACTION_DIMENSIONS)
-    members = settle(_product_members(spark, found), "members")
+    members = _product_members(spark, found)
     product = settle(warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS)), "products")
     known = _living_customers(spark, folder)
     fact = warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
