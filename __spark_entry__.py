@@ -7,13 +7,18 @@ doubles so that both engines deliver the same types.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+# The driver may load this file by path, from any folder.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import oracle_queries
 from tradeloom import schemas
 from tradeloom.operators import checks, dimensions, matching, ranking
