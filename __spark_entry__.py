@@ -29,6 +29,18 @@ from tradeloom.sources.catalog import register_views
 from tradeloom.sources.files import empty
 from tradeloom.sources.settled import settle
 
+# The training-data operators are a part of their own that an installation may lack.
+try:
+    import corpus_pipeline
+    from tradeloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tradeloom.llm"):
+        raise
+    _EXTRA, _EXTRA_SQL = {}, {}
+else:
+    _EXTRA = {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
+    _EXTRA_SQL = llm_queries.oracle_sql()
+
 FLAGSHIP = "shop_top5_by_segment"
 FLAGSHIP_FOLDER = "/root/testdata/sf0.001"
 
@@ -45,10 +57,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.statements()
+    return {**oracle_queries.statements(), **_EXTRA_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**own_queries(), **_EXTRA}
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries that this file itself builds, all with an SQL counterpart."""
     return {name: _plain(build) for name, build in _BUILDERS.items()}
 
 

@@ -19,7 +19,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.own_queries()))
 def test_plan_is_free_of_slow_operators(name, spark, folder):
     text = plan(contract.queries()[name](spark, folder))
     for operator in FORBIDDEN:
