@@ -97,10 +97,12 @@ def _profiles(docs: DataFrame, width: int, columns: int) -> DataFrame:
         sent = [(part, *data[1:]) for part, data in entries if data[0] == "shingles"]
         yield from ((part, data) for part, data in entries if data[0] != "shingles")
         if sent:
-            everywhere = np.sort(np.concatenate([x for _, lone, _, known in sent for x in (lone, known)]))
-            again = np.unique(everywhere[1:][everywhere[1:] == everywhere[:-1]])
+            everywhere = np.concatenate([*(lone for _, lone, _, _ in sent), *(known for *_, known in sent)])
+            _, inverse, parts = np.unique(everywhere, return_inverse=True, return_counts=True)
+            again, at = parts[inverse] > 1, 0
             for part, lone, document, _ in sent:
-                shared = document[np.isin(lone, again, kind="sort")]
+                shared = document[again[at : at + len(lone)]]
+                at += len(lone)
                 if len(shared):
                     which, count = np.unique(shared, return_counts=True)
                     yield part, ("shared", which, count)
