@@ -45,7 +45,8 @@ def _sent(emit, columns: int, text: str):
         for rows, texts in slices(batches, text):
             key = (task << 32) + part
             part += 1
-            sent = [(c if c is not None else key % columns, d) for c, d in emit(rows, texts)]
+            spread = hash((task, part)) % columns
+            sent = [(c if c is not None else spread, d) for c, d in emit(rows, texts)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([c for c, _ in sent], pa.int32()),
