@@ -1,10 +1,10 @@
 """WARC archives: written with an index, read back by byte ranges from the index.
 
-The records of a table are dealt to archives of bounded size. Each archive's records get their offsets
-from a running sum of record lengths before anything is written; that is the index (archive, offset,
-length, URL, digest per record), stored first. The archives themselves are plain text files whose lines
-are whole records ended by the two line breaks that WARC asks for, so Spark's own writer commits them
-whole or not at all, on any file system. A reader takes index rows, sorts the wanted ranges of an
+Each partition of the input becomes one archive, whose size follows from `spark.sql.files.maxPartitionBytes`.
+An archive's records get their offsets from a running sum of record lengths before anything is written;
+that is the index (archive, offset, length, URL, digest per record), stored first. The archives themselves
+are plain text files whose lines are whole records ended by the two line breaks that WARC asks for, so
+Spark's own writer commits them whole or not at all, on any file system. A reader takes index rows, sorts the wanted ranges of an
 archive, joins neighbouring ones into one read, and parses the records.
 """
 
@@ -18,7 +18,7 @@ from tradeloom.llm.scratch import new_path, save
 from tradeloom.operators.matching import join_side_keys
 
 END = "\r\n\r\n"
-ARCHIVE_BYTES = 32 << 20
+BROADCAST_ROWS = 500_000
 _DATE = "2000-01-01T00:00:00Z"
 _BASE32_HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -31,8 +31,9 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), _BASE32_HEX, _BASE32)
 
 
-def describe(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, payload_bytes, payload_digest, refers_to and row of each row of `pages`.
+def describe(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, bool]:
+    """page_id, url, payload, payload_bytes, payload_digest, refers_to and row of each row of `pages`, and
+    whether the rows still lie in the partitions in which they were read.
 
     refers_to is the smallest page_id with the same payload, for all others with it; NULL for that page
     itself, for payloads below `min_bytes`, and for pages without page_id, which nothing can refer to.
@@ -51,13 +52,17 @@ def describe(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .filter("copies > 1")
         .select("payload_digest", "first_id")
     )
-    # Stored, its size is known: the join ships the payloads only if it is too large to be broadcast.
+    # Stored and counted: only a small table is broadcast, which leaves the payloads where they are.
     first, _ = save(first, "first-payloads")
+    in_place = first.count() <= BROADCAST_ROWS
+    if in_place:
+        first = F.broadcast(first)
     refers = (F.col("page_id") > F.col("first_id")) & (F.col("payload_bytes") >= min_bytes)
-    return known.join(first, "payload_digest", "left").select(
+    described = known.join(first, "payload_digest", "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(refers, F.col("first_id")).alias("refers_to"), "row",
     )
+    return described, in_place
 
 
 def _head(revisit: Column) -> Column:
@@ -84,7 +89,7 @@ def _head(revisit: Column) -> Column:
     )
 
 
-def write(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Writes the archives under `folder`/archives and their index under `folder`/index; gives the index.
 
     `pages` has page_id, url, html (NULL: an empty payload). Every row becomes one record, repeated rows
@@ -94,27 +99,25 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int
     """
     spark = pages.sparkSession
     revisit = F.col("refers_to").isNotNull()
-    size = pages.agg(F.sum(F.octet_length("html").cast("bigint"))).first()[0] or 0
-    archives = max(8, size // archive_bytes)
-    records = describe(pages, min_bytes)
+    records, in_place = describe(pages, min_bytes)
     records = records.select(
-        # By content and place in the input, so that no page, however often repeated, fills an archive.
-        F.pmod(F.xxhash64("page_id", "payload_digest", "row"), F.lit(archives)).alias("archive"),
+        F.shiftright("row", 33).alias("archive"),  # the input partition, in the upper bits of the id
         "row", "page_id", "url", "payload_digest", _head(revisit).alias("head"),
         F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes")).alias("body_bytes"),
         F.when(revisit, "").otherwise(F.col("payload")).alias("body"),
     )
     length = F.octet_length("head") + F.col("body_bytes")
-    order = ["page_id", "row"]
-    behind = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = Window.partitionBy("archive").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     index = (
-        records.select("archive", *order, "url", "payload_digest", length.alias("length"))
+        records.select("archive", "row", "page_id", "url", "payload_digest", length.alias("length"))
         .withColumn("offset", F.sum(F.col("length") + len(END)).over(behind) - F.col("length") - len(END))
         .select("archive", "offset", "length", "url", "payload_digest", "page_id")
     )
     index.write.option("compression", "zstd").parquet(f"{folder}/index")
-    stored = records.select("archive", *order, F.concat("head", "body").alias("record"))
-    stored = stored.repartition("archive").sortWithinPartitions("archive", *order).select("archive", "record")
+    stored = records.select("archive", "row", F.concat("head", "body").alias("record"))
+    if not in_place:
+        stored = stored.repartition("archive")
+    stored = stored.sortWithinPartitions("archive", "row").select("archive", "record")
     stored.write.partitionBy("archive").option("lineSep", END).text(f"{folder}/archives")
     return spark.read.schema(index.schema).parquet(f"{folder}/index")
 
