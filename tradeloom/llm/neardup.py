@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tradeloom.llm.blocks import by_column
 from tradeloom.llm.components import connected_components
@@ -25,7 +26,7 @@ BLOCK_ROWS = 2048
 _SIGNED = "rep bigint, weight bigint, vector binary, signatures binary, size int, bucket int, sign int"
 
 
-def plan_tables(rows: int, threshold: float, recall: float, bucket_rows: int = 256) -> tuple[int, int]:
+def plan_tables(rows: int, threshold: float, recall: float, bucket_rows: int = 1024) -> tuple[int, int]:
     """Bits per signature and number of tables.
 
     Bits grow with the logarithm of the rows, so that vectors in no relation fill a bucket with
@@ -36,6 +37,13 @@ def plan_tables(rows: int, threshold: float, recall: float, bucket_rows: int = 2
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
 
+def _units(matrix: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision, scaled first so that no square over- or underflows."""
+    matrix = matrix.astype(np.float64)
+    matrix = matrix / np.abs(matrix).max(1, keepdims=True)
+    return matrix / np.sqrt((matrix * matrix).sum(1, keepdims=True))
+
+
 def _signed(bits: int, tables: int, seed: int):
     def run(batches):
         planes: dict[int, np.ndarray] = {}
@@ -43,24 +51,21 @@ def _signed(bits: int, tables: int, seed: int):
         for batch in batches:
             vectors = batch.column("embedding")
             lengths = np.diff(vectors.offsets.to_numpy())
-            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            flat = vectors.flatten().to_numpy(zero_copy_only=False)
             ids = batch.column("rep").to_numpy(zero_copy_only=False)
             weights = batch.column("weight").to_numpy(zero_copy_only=False)
             begins = np.cumsum(lengths) - lengths
             for size in np.unique(lengths).tolist():
                 rows = np.flatnonzero(lengths == size)
                 matrix = flat[begins[rows][:, None] + np.arange(size)[None, :]]
-                # Scaled by the largest component first, so that no square over- or underflows.
-                matrix = matrix / np.abs(matrix).max(1, keepdims=True)
-                matrix /= np.sqrt((matrix * matrix).sum(1, keepdims=True))
                 if size not in planes:
                     planes[size] = np.random.default_rng([seed, size]).standard_normal((size, tables * bits))
                 for begin in range(0, len(rows), 1024):
-                    some, units = rows[begin : begin + 1024], matrix[begin : begin + 1024]
-                    signs = (units @ planes[size] > 0).reshape(len(some), tables, bits) @ powers
+                    some, given = rows[begin : begin + 1024], matrix[begin : begin + 1024]
+                    signs = (_units(given) @ planes[size] > 0).reshape(len(some), tables, bits) @ powers
                     signs = signs.astype(np.int32)
                     packed = [s.tobytes() for s in signs]
-                    blobs = [u.tobytes() for u in units]
+                    blobs = [g.tobytes() for g in given]
                     for table in range(tables):
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -75,7 +80,7 @@ def _signed(bits: int, tables: int, seed: int):
     return run
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, kind: str):
     def bucket(ids, weights, units, signatures, left, right, table, counts, links):
         for begin in range(0, len(left), 256):
             rows = left[begin : begin + 256]
@@ -116,7 +121,7 @@ def _compare(threshold: float):
             rows = order[part]
             if len(rows) < 2:
                 continue
-            units = np.frombuffer(b"".join(vectors[r] for r in rows)).reshape(len(rows), -1)
+            units = _units(np.frombuffer(b"".join(vectors[r] for r in rows), kind).reshape(len(rows), -1))
             signatures = np.frombuffer(b"".join(packed[r] for r in rows), np.int32).reshape(len(rows), -1)
             left = np.flatnonzero(block[rows] == one)
             right = left if one == two else np.flatnonzero(block[rows] == two)
@@ -150,12 +155,15 @@ def near_duplicate_vectors(
     rows without vec_id, whose component is NULL and which are not kept. Vectors of different lengths do
     not link. Repeated rows are rows of their own that link with each other. Other columns are not read.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    # Floats travel as floats, which takes half the space; cosines are of doubles all the same.
+    single = vectors.schema["embedding"].dataType.elementType == FloatType()
+    given = F.col("embedding") if single else F.col("embedding").cast("array<double>")
+    rows = vectors.select("vec_id", given.alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < F.lit(math.inf)) & ~F.isnan(x))
     usable = F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     # Equal vectors are told by two hashes; 0.0 and -0.0 are made one before.
-    plain = F.transform("embedding", lambda x: x + F.lit(0.0))
+    plain = F.transform("embedding", lambda x: x + F.lit(0.0).cast("float" if single else "double"))
     keyed = rows.filter("usable").select(
         "vec_id", plain.alias("embedding"), F.xxhash64(plain).alias("key_a"), F.xxhash64(plain, F.lit(1)).alias("key_b")
     )
@@ -179,7 +187,7 @@ def near_duplicate_vectors(
     alone = F.col("blocks") == 1
     low = F.when(alone, F.shiftright("sign", 3)).otherwise(F.col("sign"))
     grouped = pairs.groupBy("size", "bucket", alone.alias("alone"), low.alias("low"), "a", "b")
-    met, _ = save(grouped.applyInArrow(_compare(threshold), "a bigint, b bigint, n bigint"), "vector-links")
+    met, _ = save(grouped.applyInArrow(_compare(threshold, "f4" if single else "f8"), "a bigint, b bigint, n bigint"), "vector-links")
     counts = met.filter("b IS NULL").groupBy(F.col("a").alias("key_a")).agg(F.sum("n").alias("others"))
     groups = connected_components(met.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "key_a")
     labelled = classes.join(counts, "key_a", "left").join(groups, "key_a", "left").select(
