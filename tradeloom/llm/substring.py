@@ -16,14 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tradeloom.llm.blocks import by_column, columns_for, exchange, first_of_runs
-from tradeloom.llm.words import Slice, column_of, slices, window_hashes
+from tradeloom.llm.words import Slice, column_of, window_hashes
 
 # Perfect difference covers (every remainder is a difference of two members).
 COVERS = {1: (0,), 3: (0, 1), 7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27)}
 
-_MARKS = "doc_id bigint, anchors binary"
+_MARKS = "doc_id bigint, __anchors binary"
 _RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
 
 
@@ -94,24 +95,47 @@ def _shared_anchors(docs: DataFrame, width: int, columns: int) -> DataFrame:
         return pa.table(
             {
                 "doc_id": pa.array([int(ids[k]) for k, _ in runs], pa.int64()),
-                "anchors": pa.array([h for _, h in runs], pa.binary()),
+                "__anchors": pa.array([h for _, h in runs], pa.binary()),
             }
         )
 
     return exchange(docs, emit, settle, finish, columns, _MARKS)
 
 
-def _result(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+def _marks(docs: DataFrame, width: int, columns: int) -> DataFrame:
+    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    marks = _shared_anchors(texts, width, columns)
+    return marks.groupBy("doc_id").agg(F.collect_set("__anchors").alias("__anchors"))
 
 
-def _row(doc_id, words: list[bytes], kept: list[bytes], with_text: bool) -> tuple:
-    text = b" ".join(kept)
-    shown = text.decode() if with_text else None
-    return doc_id, len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest(), shown
+def _counted(with_text: bool):
+    def result(rows: list[tuple]) -> pa.Table:
+        out = []
+        for doc_id, _, words, kept, _ in rows:
+            text = b" ".join(kept)
+            shown = text.decode() if with_text else None
+            out.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest(), shown))
+        columns = list(zip(*out)) if out else [[]] * 5
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return result
+
+
+def _rewritten(rest_type: pa.DataType):
+    def result(rows: list[tuple]) -> pa.Table:
+        texts = [(b" ".join(kept) if len(kept) < len(words) else text).decode() for _, text, words, kept, _ in rows]
+        return pa.table(
+            {
+                "doc_id": pa.array([r[0] for r in rows], pa.int64()),
+                "text": pa.array(texts, pa.string()),
+                "n_removed": pa.array([len(r[2]) - len(r[3]) for r in rows], pa.int64()),
+                "rest": pa.array([r[4] for r in rows], rest_type),
+            }
+        )
+
+    return result
 
 
 def _candidates(words: Slice, hashes: np.ndarray, shared: np.ndarray, width: int) -> np.ndarray:
@@ -127,24 +151,26 @@ def _candidates(words: Slice, hashes: np.ndarray, shared: np.ndarray, width: int
     return np.flatnonzero(np.cumsum(steps[:-1]) > 0)
 
 
-def _cut(marked: DataFrame, width: int, columns: int, with_text: bool) -> DataFrame:
-    """The result rows of documents that carry their shared anchors in `anchors`."""
+def _cut(marked: DataFrame, width: int, columns: int, schema, result) -> DataFrame:
+    """Rows of `result` for documents that carry their shared anchors in `__anchors`, NULL if none.
+
+    `result` gets a list of (doc_id, text, its words, which of them stay, rest) and gives a table; `rest`
+    is the value of the column of this name, or None.
+    """
 
     def emit(rows, texts):
         ids = rows.column("doc_id").to_pylist()
-        marks = rows.column("anchors").to_pylist()
+        marks = rows.column("__anchors").to_pylist()
         open_ = [i for i, m in enumerate(marks) if m and texts[i]]
         clean = sorted(set(range(len(ids))) - set(open_))
-        done = []
-        for i in clean:
-            own = (texts[i] or b"").split()
-            done.append(_row(ids[i], own, own, with_text))
+        rest = rows.column("rest").to_pylist() if "rest" in rows.schema.names else [None] * len(ids)
+        done = [(ids[i], texts[i] or b"", words, words, rest[i]) for i in clean for words in [(texts[i] or b"").split()]]
         kept = [texts[i] for i in open_]
-        yield None, ("rows", done)
+        yield None, ("rows", result(done))
         if not open_:
             return
         packed = pa.compress(b"".join(kept), codec="zstd", asbytes=True)
-        yield None, ("texts", [ids[i] for i in open_], [len(t) for t in kept], packed)
+        yield None, ("texts", [ids[i] for i in open_], [len(t) for t in kept], packed, [rest[i] for i in open_])
         words = Slice(kept)
         shared = np.unique(np.frombuffer(b"".join(b for i in open_ for b in marks[i]), np.uint64))
         hashes = words.hashes()
@@ -162,12 +188,23 @@ def _cut(marked: DataFrame, width: int, columns: int, with_text: bool) -> DataFr
         yield None, ("gone", places[later])
         like = ~later & ~first
         yield None, ("alike", places[like], places[head[like]])
-        windows, places, owner = windows[heads], places[heads], ids[document[heads]]
-        for column, run in by_column(windows, column_of(windows, columns)):
-            yield column, ("windows", windows[run], owner[run], places[run])
+        windows, places, document = windows[heads], places[heads], document[heads]
+        # By place, a column's entries are nearby places of few documents, which packs well.
+        which = column_of(windows, columns)
+        order = np.lexsort((places, which))
+        windows, places, document, which = windows[order], places[order], document[order], which[order]
+        for column, run in by_column(which, which):
+            own = np.flatnonzero(first_of_runs(document[run]))
+            runs = np.diff(np.append(own, run.stop - run.start))
+            gaps = np.diff(places[run], prepend=places.dtype.type(0))
+            yield column, ("windows", windows[run], ids[document[run][own]], runs, gaps)
 
     def settle(entries):
-        sent = [(part, *data[1:]) for part, data in entries if data[0] == "windows"]
+        sent = [
+            (part, data[1], np.repeat(data[2], data[3]), np.cumsum(data[4], dtype=np.uint32))
+            for part, data in entries
+            if data[0] == "windows"
+        ]
         yield from ((part, data) for part, data in entries if data[0] != "windows")
         if sent:
             windows = np.concatenate([w for _, w, _, _ in sent])
@@ -184,8 +221,8 @@ def _cut(marked: DataFrame, width: int, columns: int, with_text: bool) -> DataFr
                     yield part, ("gone", places[mine])
 
     def finish(datas):
-        rows = [r for d in datas if d[0] == "rows" for r in d[1]]
-        for _, ids, lengths, packed in (d for d in datas if d[0] == "texts"):
+        tables = [d[1] for d in datas if d[0] == "rows"]
+        for _, ids, lengths, packed, rest in (d for d in datas if d[0] == "texts"):
             whole = pa.decompress(packed, sum(lengths), codec="zstd", asbytes=True)
             ends = np.cumsum(lengths)
             texts = [whole[e - n : e] for e, n in zip(ends.tolist(), lengths)]
@@ -202,13 +239,15 @@ def _cut(marked: DataFrame, width: int, columns: int, with_text: bool) -> DataFr
             steps[starts] += 1
             steps[starts + width] -= 1
             stays = (np.cumsum(steps) == 0).tolist()
+            done = []
             for i, doc_id in enumerate(ids):
                 a, b = int(words.starts[i]), int(words.starts[i + 1])
                 own = words.words[a:b]
-                rows.append(_row(doc_id, own, [w for w, s in zip(own, stays[a:b]) if s], with_text))
-        return _result(rows)
+                done.append((doc_id, texts[i], own, [w for w, s in zip(own, stays[a:b]) if s], rest[i]))
+            tables.append(result(done))
+        return pa.concat_tables(tables)
 
-    return exchange(marked, emit, settle, finish, columns, _RESULT)
+    return exchange(marked, emit, settle, finish, columns, schema)
 
 
 def cut_repeated_windows(docs: DataFrame, width: int = 50, with_text: bool = True) -> DataFrame:
@@ -227,7 +266,27 @@ def cut_repeated_windows(docs: DataFrame, width: int = 50, with_text: bool = Tru
     """
     texts = docs.select("doc_id", "text")
     columns = columns_for(texts, "text")
-    marks = _shared_anchors(texts.filter("doc_id IS NOT NULL AND text IS NOT NULL"), width, columns)
-    marks = marks.groupBy("doc_id").agg(F.collect_set("anchors").alias("anchors"))
+    marks = _marks(texts, width, columns)
     marked = texts.join(marks, "doc_id", "left")
-    return _cut(marked, width, columns, with_text)
+    return _cut(marked, width, columns, _RESULT, _counted(with_text))
+
+
+def without_repeated_windows(docs: DataFrame, width: int = 50) -> DataFrame:
+    """`docs` with `text` rewritten as by `cut_repeated_windows`, and n_removed; all columns stay.
+
+    Texts of which nothing is removed stay as they are, white space and NULL included. Columns of `docs`
+    named n_removed or __anchors are replaced or dropped. Only documents with a passage in common with
+    others go through the exchange; the rest passes by.
+    """
+    docs = docs.drop("n_removed", "__anchors")
+    names = [c for c in docs.columns if c not in ("doc_id", "text")]
+    columns = columns_for(docs, "text")
+    marks = _marks(docs, width, columns)
+    inner = docs.select("doc_id", "text", F.struct(F.lit(0).alias("__0"), *names).alias("rest"))
+    none = F.lit(0).cast("bigint").alias("n_removed")
+    clean = inner.join(marks, "doc_id", "left_anti").select("doc_id", "text", none, "rest")
+    open_ = inner.join(marks, "doc_id")
+    rest_type = to_arrow_type(inner.schema["rest"].dataType)
+    schema = clean.schema
+    changed = _cut(open_, width, columns, schema, _rewritten(rest_type))
+    return clean.unionAll(changed).select(*(f"rest.`{c}`" if c in names else c for c in docs.columns), "n_removed")
