@@ -17,16 +17,6 @@ from tradeloom.llm.scratch import drop, new_path
 ORACLE_SQL = None
 
 
-def _one_row_per_id(docs: DataFrame) -> DataFrame:
-    """Rows without doc_id, and of rows with equal ids that with the smallest text."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min(F.struct("text", *rest)).alias("__row")
-    )
-    whole = first.select("doc_id", "__row.*").select(*docs.columns)
-    return whole.unionAll(docs.filter("doc_id IS NULL"))
-
-
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in a language that the model knows; texts that are NULL or have no letter go."""
     found = languages(docs).filter(F.col("lang_pred") != langid.UNKNOWN).select("doc_id").distinct()
@@ -35,22 +25,21 @@ def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
-    single = _one_row_per_id(docs)
-    kept = ngram_join.near_duplicate_groups(single).filter("doc_id = component_id").select("doc_id")
-    return single.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Of each group of near-duplicates the document with the smallest doc_id; rows without id stay."""
+    kept = ngram_join.near_duplicate_groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.join(kept, "doc_id", "left_semi")
+    # Of rows with equal ids that with the smallest text; the join has put them together already.
+    firsts = rows.groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("__row"))
+    return firsts.select("doc_id", "__row.*").select(*docs.columns).unionAll(docs.filter("doc_id IS NULL"))
 
 
 def passages_cut(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the 50-word passages of earlier ones; unchanged documents keep their spacing,
     those of which nothing is left go."""
-    found = substring.cut_repeated_windows(docs, width=50).filter("n_removed > 0")
-    cut = found.select("doc_id", F.col("kept").alias("__kept"), F.lit(True).alias("__cut"))
-    joined = docs.join(cut, "doc_id", "left")
-    text = F.when(F.col("__cut"), F.col("__kept")).otherwise(F.col("text"))
-    length = F.when(F.col("__cut"), F.length("__kept").cast("bigint")).otherwise(F.col("n_chars"))
-    whole = joined.withColumns({"text": text, "n_chars": length})
-    return whole.filter("__cut IS NULL OR __kept <> ''").select(*docs.columns)
+    cut = substring.without_repeated_windows(docs, width=50).filter("n_removed = 0 OR text <> ''")
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length).select(*docs.columns)
 
 
 def no_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

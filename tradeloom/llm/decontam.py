@@ -32,7 +32,7 @@ UNITS = (
 _LITERAL, _NUMBER, _UNIT, _NAME, _NOTHING = range(5)
 _NUMBER_FORM = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(%|st|nd|rd|th)?")
 _ENDS = re.compile(r"[.!?:;|][\"')\]»”’]*$")
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 200_000
 
 
 def _parsed(word: bytes) -> tuple[str, int, bool]:

@@ -25,7 +25,7 @@ RUN = 8
 FEATURES = 1 << 16
 _BYTES = 24
 _EDGES = "0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…–—¿¡§°•"
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 200_000
 UNKNOWN = "und"
 
 
