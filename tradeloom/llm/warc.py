@@ -125,7 +125,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
 def archive_files(spark: SparkSession, folder: str) -> DataFrame:
     """(archive, path): the file of each archive."""
     files = spark.read.format("binaryFile").load(f"{folder}/archives")
-    return files.select(F.col("archive").cast("bigint"), "path")
+    # From the path, for a folder without archives has no such column.
+    return files.select(F.regexp_extract("path", r"archive=(\d+)", 1).cast("bigint").alias("archive"), "path")
 
 
 def _ranges(wanted: list[tuple[int, int]], gap: int, most: int) -> list[tuple[int, int]]:
