@@ -17,17 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a local session without one gets a temporary folder."""
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tradeloom-llm-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set(_SETTING, folder)
-    return folder
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="tradeloom-llm-")
+        atexit.register(shutil.rmtree, _own[context.applicationId], ignore_errors=True)
+    return _own[context.applicationId]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
