@@ -27,7 +27,6 @@ from tradeloom.sources import samples
 from tradeloom.sources.calendar import calendar_spanning
 from tradeloom.sources.catalog import register_views
 from tradeloom.sources.files import empty
-from tradeloom.sources.settled import settle
 
 # The training-data operators are a part of their own that an installation may lack.
 try:
@@ -301,20 +300,15 @@ def booking_daily_occupancy(spark, folder):
 
 
 def _members(spark, found):
-    """A first load of simple dimensions, written out as the load job does before it loads facts."""
-    return settle(dimensions.new_members(found, empty(spark, schemas.MEMBERS)), "members")
+    """A first load of simple dimensions."""
+    return dimensions.new_members(found, empty(spark, schemas.MEMBERS))
 
 
 def _product_members(spark, found):
     """The same with the unknown members the products may refer to."""
     nothing = empty(spark, schemas.MEMBERS)
     unknown = dimensions.missing_unknown_members(nothing, warehouse.PRODUCT_DIMENSIONS)
-    return settle(dimensions.new_members(found, nothing).unionByName(unknown), "members")
-
-
-def _raw_transactions(spark, folder):
-    """The wide file, landed once for the several steps that read it, as the load job does."""
-    return settle(samples.raw_transactions(spark, folder), "raw_transactions")
+    return dimensions.new_members(found, nothing).unionByName(unknown)
 
 
 def _living_customers(spark, folder):
@@ -349,7 +343,7 @@ def incremental_append(spark, folder):
 def dim_load_simple(spark, folder):
     """All simple dimensions when the transactions of the first days are loaded already."""
     raw_customers = samples.raw_customers(spark, folder)
-    raw_transactions = _raw_transactions(spark, folder)
+    raw_transactions = samples.raw_transactions(spark, folder)
     early = raw_transactions.filter(F.to_date("transaction_date", "M/d/yyyy") < F.lit(LOADED_BEFORE))
     loaded = _members(spark, dimensions.distinct_members(early, warehouse.TRANSACTION_DIMENSIONS))
     added = dimensions.new_members(warehouse.found_members(raw_customers, raw_transactions), loaded)
@@ -359,11 +353,11 @@ def dim_load_simple(spark, folder):
 @_query
 def dim_load_location(spark, folder):
     """All three location levels of a first load, stacked."""
-    places = settle(dimensions.distinct_places(samples.raw_customers(spark, folder)), "places")
+    places = dimensions.distinct_places(samples.raw_customers(spark, folder))
     nothing = dimensions.Locations(
         empty(spark, schemas.COUNTRIES), empty(spark, schemas.STATES), empty(spark, schemas.POSTCODES)
     )
-    loaded = dimensions.new_locations(places, nothing, settle)
+    loaded = dimensions.new_locations(places, nothing, lambda level, _: level)
     no_id = F.lit(None).cast("bigint")
 
     def level(df, name, id_column, label, parent):
@@ -396,7 +390,7 @@ def dim_unknown_member(spark, folder):
 
 @_query
 def fact_products(spark, folder):
-    raw = _raw_transactions(spark, folder)
+    raw = samples.raw_transactions(spark, folder)
     members = _product_members(spark, dimensions.distinct_members(raw, warehouse.PRODUCT_DIMENSIONS))
     return warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))
 
@@ -414,7 +408,7 @@ def fact_customers(spark, folder):
 
 @_query
 def fact_transactions(spark, folder):
-    raw = _raw_transactions(spark, folder)
+    raw = samples.raw_transactions(spark, folder)
     members = _members(spark, dimensions.distinct_members(raw, {"order_statuses": "order_status"}))
     known = _living_customers(spark, folder)
     return warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
@@ -422,10 +416,10 @@ def fact_transactions(spark, folder):
 
 @_query
 def report_transactions_wide(spark, folder):
-    raw = _raw_transactions(spark, folder)
+    raw = samples.raw_transactions(spark, folder)
     found = dimensions.distinct_members(raw, warehouse.TRANSACTION_DIMENSIONS)
     members = _product_members(spark, found)
-    product = settle(warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS)), "products")
+    product = warehouse.products(raw, members, empty(spark, schemas.DIM_PRODUCTS))
     known = _living_customers(spark, folder)
     fact = warehouse.transactions(raw, known, members, empty(spark, schemas.TRANSACTIONS))
     return warehouse.wide_transactions(fact, product, members)

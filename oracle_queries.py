@@ -91,15 +91,18 @@ _VIEWS = {
           country, property_valuation
         FROM customer_v""",
     "raw_transaction_v": """
-        SELECT l.order_id * 10 + l.line AS transaction_id, l.product_id, o.customer_id, o.order_date,
+        SELECT transaction_id, l.product_id, o.customer_id, o.order_date,
           o.online_order, o.order_status, p.brand, p.product_line, p.product_class, p.product_size,
-          CASE WHEN (l.order_id * 10 + l.line) % 53 = 0 THEN 'abc'
+          CASE WHEN transaction_id % 53 = 0 THEN 'abc'
             ELSE replace(CAST(l.price AS VARCHAR), '.', ',') END AS list_price,
           CASE WHEN p.brand IS NOT NULL
             THEN replace(CAST(p.standard_cost AS VARCHAR), '.', ',') END AS standard_cost
-        FROM (SELECT l_orderkey AS order_id, l_linenumber AS line, min(l_partkey) AS product_id,
-                CAST(min(l_extendedprice) AS DECIMAL(10,2)) AS price
-              FROM lineitem GROUP BY l_orderkey, l_linenumber) l
+        FROM (SELECT l_orderkey AS order_id, l_partkey AS product_id,
+                CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+                CAST('0x' || left(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT))), 15) AS BIGINT)
+                  AS transaction_id
+              FROM lineitem) l
         JOIN orders_v o USING (order_id) JOIN product_v p USING (product_id)""",
     "transaction_name_v": """
         SELECT DISTINCT dimension, name FROM (

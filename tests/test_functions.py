@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import ArithmeticException, PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -57,6 +57,12 @@ def test_decimal_comma(spark):
     ]
 
 
+def test_number_that_does_not_fit_fails(spark):
+    for text in ("123456789.50", "-1e9"):
+        with pytest.raises(ArithmeticException):
+            column(spark, [text], "string", fn.decimal_from_text)
+
+
 def test_unknown_gender_spellings_fall_to_default(spark):
     values = ["Male", "Female", "F", "U", "M", "Femal", None]
     got = column(spark, values, "string", lambda c: fn.map_values(c, GENDER_CODES, GENDER_DEFAULT))

@@ -6,12 +6,15 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType
+from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 
 def decimal_from_text(text: Column) -> Column:
-    """`12,5` or `12.50` as decimal(10,2); anything else NULL."""
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("decimal(10,2)")
+    """`12,5` or `12.50` as decimal(10,2); text that is no number is NULL.
+
+    A number that does not fit fails the query (ANSI mode, Spark's default), as a database's column would.
+    """
+    return F.replace(text, F.lit(","), F.lit(".")).try_cast("decimal(38,10)").cast("decimal(10,2)")
 
 
 def percent_of(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -28,8 +31,15 @@ def rounded_mean(df: DataFrame, column: str, digits: int = 2) -> Column:
     kind = df.schema[column].dataType
     if not isinstance(kind, DecimalType):
         return F.round(F.avg(column), digits)
-    total = F.sum(column).cast(DecimalType(24, kind.scale))
-    return F.round(F.try_divide(total, F.count(column).cast("decimal(14,0)")), digits)
+    return mean_of_sums(F.sum(column), F.count(column), kind, digits)
+
+
+def mean_of_sums(total: Column, count: Column, kind: DataType, digits: int = 2) -> Column:
+    """A mean, rounded to `digits`, from a total of values of type `kind` and their number."""
+    if not isinstance(kind, DecimalType):
+        return F.round(F.try_divide(total, count), digits)
+    total = total.cast(DecimalType(24, kind.scale))
+    return F.round(F.try_divide(total, count.cast("decimal(14,0)")), digits)
 
 
 def summed_product(df: DataFrame, quantity: str, price: str) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,19 +220,22 @@ def write_reports(tables: Mapping[str, DataFrame], target: str) -> dict[str, str
 
 
 def check_reports(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, int]:
-    """Rows per report. Names every empty or unreadable report before it fails."""
-    readable, problems = {}, []
+    """Rows per report. Names every empty or unreadable report before it fails.
+
+    Lines are read as they are, header included, so that one report's damage is met in its own count.
+    """
+    rows, problems = {}, []
     for name, path in paths.items():
         try:
-            readable[name] = spark.read.option("header", True).csv(path)
-        except AnalysisException as error:
-            problems.append(f"{name} ({error.getCondition()})")
-    rows = {}
-    if readable:
-        for status in report_status(readable).collect():
-            rows[status["report"]] = status["n_rows"]
-            if not status["ok"]:
-                problems.append(f"{status['report']} (empty)")
+            report = spark.read.option("header", True).schema("line string").csv(path, enforceSchema=True)
+            status = report_status({name: report}).first()
+        except (PySparkException, Py4JJavaError) as error:
+            condition = error.getCondition() if isinstance(error, PySparkException) else None
+            problems.append(f"{name} ({condition or 'unreadable'})")
+            continue
+        rows[name] = status["n_rows"]
+        if not status["ok"]:
+            problems.append(f"{name} (empty)")
     if problems:
         raise ReportsRejected(", ".join(sorted(problems)))
     return rows

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions import rounded_mean
+from tradeloom.functions.numbers import mean_of_sums
 from tradeloom.operators.ranking import nth_per_group, top_k, top_k_per_group
 from tradeloom.plans.revenue import approved, named_customer_revenue, order_amounts, order_values
 
@@ -114,14 +115,14 @@ def order_stats_windowed(orders: DataFrame, items: DataFrame, shares: int = 64)
     )
     whole = Window.partitionBy("customer_id")
     total = F.sum("total").over(whole)
-    n_valued = F.sum("n_valued").over(whole).cast("decimal(14,0)")
+    mean = mean_of_sums(total, F.sum("n_valued").over(whole), values.schema["order_value"].dataType)
     stats = shared.select(
         "customer_id",
         total.alias("total_revenue"),
         F.max("largest").over(whole).alias("max_order_value"),
         F.min("smallest").over(whole).alias("min_order_value"),
         F.sum("n").over(whole).alias("orders_count"),
-        F.round(F.try_divide(total.cast("decimal(24,2)"), n_valued), 2).alias("avg_order_value"),
+        mean.alias("avg_order_value"),
     ).distinct()
     return _by_revenue(stats)
 

@@ -173,15 +173,19 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """The transaction file as it arrives: one row per order line, product attributes repeated."""
-    lines = (
-        sample(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"))
-        .agg(F.min("l_partkey").alias("product_id"), F.min("l_extendedprice").alias("price"))
+    # An id of its own for every line: order, line number and the whole numbers that tell lines apart.
+    lines = sample(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "l_extendedprice AS price",
+        "CAST(conv(substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15), 16, 10) AS BIGINT) "
+        "AS transaction_id",
     )
     product = shop_product(spark, folder).drop("list_price")
     joined = lines.join(shop_orders(spark, folder), "order_id").join(product, "product_id")
     return joined.selectExpr(
-        "order_id * 10 + line AS transaction_id",
+        "transaction_id",
         "product_id",
         "customer_id",
         "date_format(order_date, 'M/d/yyyy') AS transaction_date",
@@ -191,7 +195,7 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
         "product_line",
         "product_class",
         "product_size",
-        "CASE WHEN (order_id * 10 + line) % 53 = 0 THEN 'abc' "
+        "CASE WHEN transaction_id % 53 = 0 THEN 'abc' "
         "ELSE replace(CAST(CAST(price AS DECIMAL(10,2)) AS STRING), '.', ',') END AS list_price",
         "CASE WHEN brand IS NOT NULL THEN replace(CAST(standard_cost AS STRING), '.', ',') END AS standard_cost",
     )

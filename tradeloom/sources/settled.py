@@ -7,7 +7,6 @@ that Spark can hold against its broadcast threshold. The folder is the one the s
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +17,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only a local session without one gets a temporary folder."""
+    """The session's checkpoint folder."""
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tradeloom-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
