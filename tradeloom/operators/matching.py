@@ -39,9 +39,21 @@ def resolve_id(
     return found.withColumn(id_column, F.coalesce(id_column, F.lit(default).cast("bigint")))
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `incoming` whose key is not in `existing` yet: appending them is safe to repeat."""
-    return incoming.join(existing.select(*keys), list(keys), "left_anti")
+def new_rows(
+    incoming: DataFrame, existing: DataFrame, keys: Sequence[str], arrived: DataFrame | None = None
+) -> DataFrame:
+    """Rows of `incoming` whose key is not in `existing` yet: appending them is safe to repeat.
+
+    `arrived`, any table with all keys of `incoming`, is for an `existing` that is a long history, which is
+    then narrowed down to these keys first. While they are few enough to be broadcast, the history is
+    filtered where it is read and not shuffled; an anti join alone would shuffle its keys on every load.
+    Beyond that size both sides are shuffled by key.
+    """
+    known = existing.select(*keys)
+    if arrived is not None:
+        met = arrived.groupBy(*join_side_keys(*keys)).agg(F.lit(True).alias("__met")).select(*keys)
+        known = known.join(met, list(keys), "left_semi")
+    return incoming.join(known, list(keys), "left_anti")
 
 
 def flag_parent(df: DataFrame, parent: DataFrame, key: str, flag: str) -> DataFrame:

@@ -68,7 +68,7 @@ def products(
     """
     columns = ["product_id", *PRODUCT_LINKS, "list_price", "standard_cost"]
     first = keep_first(transactions.select(sequence, *columns), ["product_id"], sequence).select(*columns)
-    fresh = new_rows(first, existing, ["product_id"]).withColumns(
+    fresh = new_rows(first, existing, ["product_id"], transactions).withColumns(
         {
             "list_price": decimal_from_text(F.col("list_price")),
             "standard_cost": decimal_from_text(F.col("standard_cost")),
@@ -82,7 +82,7 @@ def products(
 
 def customers(raw: DataFrame, members: DataFrame, existing: DataFrame) -> DataFrame:
     """New customers with codes normalised; an unmatched industry or segment leaves the id NULL."""
-    cleaned = new_rows(raw, existing, ["customer_id"]).select(
+    cleaned = new_rows(raw, existing, ["customer_id"], raw).select(
         "customer_id",
         "first_name",
         "last_name",
@@ -116,7 +116,7 @@ def transactions(
     seen: Observation | None = None,
 ) -> DataFrame:
     """New transactions of known customers; a date that cannot be read fails the load."""
-    fresh = new_rows(raw, existing, ["transaction_id"])
+    fresh = new_rows(raw, existing, ["transaction_id"], raw)
     cleaned = reject_orphans(fresh, known_customers, "customer_id", seen).select(
         "transaction_id",
         "product_id",
