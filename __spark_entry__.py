@@ -125,6 +125,12 @@ def shop_brand_except(spark, folder):
     )
 
 
+@_query
+def shop_brand_except_by_brand(spark, folder):
+    """The same by brand alone. Every brand of the sample is bought by both industries: no rows."""
+    return shop.bought_by_one_industry_only(*_shop_with_products(spark, folder), "Financial Services", "IT")
+
+
 @_query
 def shop_top_customers_above_avg(spark, folder):
     tables = _shop_with_products(spark, folder)
@@ -167,6 +173,11 @@ def shop_brand_it_orders_with_zero(spark, folder):
     )
 
 
+@_query
+def shop_brand_it_orders(spark, folder):
+    return shop_windows.online_orders_by_product_group(*_shop_with_products(spark, folder))
+
+
 @_query
 def shop_customer_order_stats_groupby(spark, folder):
     return shop_windows.order_stats_grouped(*_shop(spark, folder)[1:])
@@ -336,7 +347,7 @@ def incremental_append(spark, folder):
     """Orders to append when those up to the last load are already stored."""
     orders = samples.shop_orders(spark, folder)
     stored = orders.filter(F.col("order_date") < F.lit(STORED_BEFORE))
-    return matching.new_rows(orders, stored, ["order_id"])
+    return matching.new_rows(orders, stored, ["order_id"], orders)
 
 
 @_query

@@ -184,6 +184,13 @@ _QUERIES = {
         EXCEPT
         SELECT brand, product_id FROM product_v WHERE product_id IN (
           SELECT product_id FROM sale_v JOIN customer_v USING (customer_id) WHERE job_industry_category = 'IT')""",
+    "shop_brand_except_by_brand": """
+        SELECT brand FROM product_v WHERE product_id IN (
+          SELECT product_id FROM sale_v JOIN customer_v USING (customer_id)
+          WHERE job_industry_category = 'Financial Services')
+        EXCEPT
+        SELECT brand FROM product_v WHERE product_id IN (
+          SELECT product_id FROM sale_v JOIN customer_v USING (customer_id) WHERE job_industry_category = 'IT')""",
     "shop_top_customers_above_avg": """
         SELECT customer_id, first_name, last_name, count(order_item_id) AS cnt_orders_online
         FROM (SELECT *, avg(property_valuation) OVER (PARTITION BY state) AS usual FROM customer_v)
@@ -223,6 +230,12 @@ _QUERIES = {
           SELECT product_id, order_id FROM sale_v JOIN customer_v USING (customer_id)
           WHERE job_industry_category = 'IT' AND order_status = 'Approved' AND online_order) s USING (product_id)
         WHERE p.brand IS NOT NULL GROUP BY p.brand, p.product_size""",
+    "shop_brand_it_orders": """
+        SELECT p.brand, count(DISTINCT s.order_id) AS it_online_order_cnt
+        FROM product_v p LEFT JOIN (
+          SELECT product_id, order_id FROM sale_v JOIN customer_v USING (customer_id)
+          WHERE job_industry_category = 'IT' AND order_status = 'Approved' AND online_order) s USING (product_id)
+        WHERE p.brand IS NOT NULL GROUP BY p.brand""",
     "shop_customer_order_stats_groupby": _STATS,
     "shop_customer_order_stats_window": _STATS,
     "shop_top_bottom_customers": """
