@@ -21,7 +21,7 @@ def booking(i, rng):
         car_parking_space=0, room_type="R", lead_time=rng.choice([0, 7, 30, None]), year=rng.choice([2017, 2018]),
         month=rng.choice([1, 2, 12]), date=rng.choice([1, 28, 29, 30, 31]), market_segment=rng.choice(["Online", "Offline"]),
         repeated_guest=rng.choice([0, 1]), previous_cancellations=0, previous_bookings_not_canceled=0,
-        avg_room_price=rng.choice([0.0, 99.99, 100.5, None]), special_requests=0,
+        avg_room_price=rng.choice([Decimal("0.00"), Decimal("99.99"), Decimal("100.50"), None]), special_requests=0,
         status=rng.choice(["Canceled", "Not_Canceled", "Not_Canceled", None]),
     )
 

@@ -88,5 +88,5 @@ BOOKING = _table(
     ID=TEXT, n_adults=INT, n_children=INT, weekend_nights=INT, week_nights=INT, meal_plan=TEXT,
     car_parking_space=INT, room_type=TEXT, lead_time=INT, year=INT, month=INT, date=INT,
     market_segment=TEXT, repeated_guest=INT, previous_cancellations=INT,
-    previous_bookings_not_canceled=INT, avg_room_price=DOUBLE, special_requests=INT, status=TEXT,
+    previous_bookings_not_canceled=INT, avg_room_price=MONEY, special_requests=INT, status=TEXT,
 )
