@@ -1,4 +1,5 @@
 import csv
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import bag, rows
 from tradeloom import schemas
+from tradeloom.operators.matching import new_rows
 from tradeloom.plans import jobs, warehouse
 
 CUSTOMERS = [
@@ -235,3 +237,44 @@ def test_refreshed_dates_and_columns(spark, tmp_path):
     tables = jobs.refresh_shop(spark, shop_files(tmp_path), str(tmp_path / "tables"))
     assert tables["customer"].schema == schemas.CUSTOMER
     assert rows(tables["customer"].agg(F.min("dob"))) == [(date(1980, 1, 1),)]
+
+
+@pytest.mark.parametrize(
+    "table, line",
+    [
+        ("orders", "abc,1,2017-01-01,True,Approved"),
+        ("orders", "9,1,01/02/2017,True,Approved"),
+        ("orders", '9,1,2017-01-01,True,"Appr\noved"'),
+        ("order_items", "9,9,1"),
+    ],
+)
+def test_malformed_input_leaves_the_shop_unchanged(spark, tmp_path, table, line):
+    source, base = shop_files(tmp_path), str(tmp_path / "tables")
+    before = {n: bag(df) for n, df in jobs.refresh_shop(spark, source, base).items()}
+    with open(tmp_path / f"{table}.csv", "a", encoding="utf-8") as out:
+        out.write(line + "\n")
+    with pytest.raises(jobs.InputRejected, match=f"{table}: . malformed"):
+        jobs.refresh_shop(spark, source, base)
+    after = {n: bag(spark.read.parquet(f"{base}/{n}")) for n in before}
+    assert after == before
+    assert not (tmp_path / "tables" / "_landing").exists()
+
+
+def test_malformed_input_stops_the_warehouse_load(fresh):
+    with pytest.raises(jobs.InputRejected, match="customers: 1 malformed"):
+        fresh.run(customers=[*CUSTOMERS, ("x7", *CUSTOMERS[0][1:])])
+    assert all(not content for content in fresh.content().values())
+
+
+def test_history_is_filtered_where_it_is_read(spark, tmp_path):
+    """A small file against a long history: the history is not shuffled."""
+    spark.range(100_000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "history"))
+    spark.range(99_990, 100_010).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "file"))
+    history, file = (spark.read.parquet(str(tmp_path / n)) for n in ("history", "file"))
+    fresh_rows = new_rows(file, history, ["k"], file)
+    assert bag(fresh_rows) == [(k,) for k in range(100_000, 100_010)]
+    plan = fresh_rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("LeftSemi")
+    physical = fresh_rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [k" in physical and "LeftSemi" in physical
+    assert not re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*(Project|Filter)?[^\n]*\n?[^\n]*Scan parquet[^\n]*history", physical)

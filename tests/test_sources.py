@@ -30,7 +30,34 @@ def test_csv_bad_cell_is_null(spark, tmp_path):
     names = ",".join(f.name for f in schemas.BOOKING.fields)
     cells = "B1,two,1,0,3,Meal,0,Room,5,2018,2,28,Online,0,0,0,106.68,0,Canceled"
     row = files.read_csv(spark, write(tmp_path / "b.csv", f"{names}\n{cells}\n"), schemas.BOOKING).first()
-    assert row["n_adults"] is None and row["avg_room_price"] == 106.68 and row["status"] == "Canceled"
+    assert row["n_adults"] is None and row["avg_room_price"] == Decimal("106.68") and row["status"] == "Canceled"
+
+
+def malformed(spark, path, schema, **options):
+    return [r["bad"] for r in files.read_csv(spark, path, schema, malformed="bad", **options).collect()]
+
+
+def test_csv_malformed_records_are_marked(spark, tmp_path):
+    head = "order_id,customer_id,order_date,online_order,order_status"
+    lines = ["1,2,2017-01-01,true,x", "2,,,,", "abc,2,2017-01-01,true,x", "3,2,01.01.2017,true,x", "4,2", "5,2,2017-01-01,true,x,y"]
+    path = write(tmp_path / "x.csv", "\n".join([head, *lines, ""]))
+    assert malformed(spark, path, schemas.ORDERS) == [False, False, True, True, True, True]
+    lines = ["n/a,NULL,NA,,n/a"]
+    path = write(tmp_path / "na.csv", "\n".join([head, *lines, ""]))
+    assert malformed(spark, path, schemas.ORDERS, na_text_is_null=True) == [False]
+    assert malformed(spark, path, schemas.ORDERS) == [True]
+    path = write(tmp_path / "wide.csv", f"{head},note\n1,2,2017-01-01,true,x,hi\n1,2,2017-01-01,true,x\n")
+    assert malformed(spark, path, schemas.ORDERS) == [False, True]
+
+
+def test_csv_quoted_line_break(spark, tmp_path):
+    head = "order_id,customer_id,order_date,online_order,order_status"
+    path = write(tmp_path / "x.csv", f'{head}\n1,2,2017-01-01,true,"Appr\noved, ""so"""\n2,3,2017-01-02,false,x\n')
+    df = files.read_csv(spark, path, schemas.ORDERS, multi_line=True, malformed="bad")
+    assert rows(df) == [
+        (1, 2, date(2017, 1, 1), True, 'Appr\noved, "so"', False), (2, 3, date(2017, 1, 2), False, "x", False),
+    ]
+    assert any(malformed(spark, path, schemas.ORDERS))
 
 
 def test_csv_missing_text_is_an_option(spark, tmp_path):

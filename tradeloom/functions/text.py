@@ -15,7 +15,12 @@ def blank_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """Turn the missing-value spellings of CSV files into NULL (default: in every text column)."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return df.withColumns({c: F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)) for c in columns})
+    return df.withColumns({c: F.when(is_present(F.col(c)), F.col(c)) for c in columns})
+
+
+def is_present(text: Column) -> Column:
+    """Not a missing-value spelling; NULL for NULL."""
+    return ~text.isin(*NA_TOKENS)
 
 
 def map_values(column: Column, mapping: Mapping[str, object], default: object) -> Column:

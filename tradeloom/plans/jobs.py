@@ -28,9 +28,9 @@ from tradeloom.sources.batches import (
     stage_rows,
 )
 from tradeloom.sources.catalog import register_views
-from tradeloom.sources.files import read_csv, replace_dataset, write_report
+from tradeloom.sources.files import read_csv, remove_dataset, replace_dataset, write_report
 
-FILE_POSITION = "file_position"
+FILE_POSITION, MALFORMED = "file_position", "malformed"
 
 DIMENSION_TABLES = {
     "countries": schemas.COUNTRIES,
@@ -49,6 +49,10 @@ class LoadRejected(Exception):
     """New rows break an integrity rule; nothing of the batch was published."""
 
 
+class InputRejected(Exception):
+    """Input files have malformed records; no table was changed."""
+
+
 class ReportsRejected(Exception):
     """At least one report is empty or cannot be read."""
 
@@ -71,29 +75,52 @@ def open_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return tables | {name: warehouse.dimension(members, name) for name in warehouse.NAME_COLUMNS}
 
 
-def load_warehouse(spark: SparkSession, customer_csv: str, transaction_csv: str, base: str) -> LoadResult:
+def load_warehouse(
+    spark: SparkSession, customer_csv: str, transaction_csv: str, base: str, multi_line: bool = False
+) -> LoadResult:
     """Add what is new in the two files. Running it again on the same files adds nothing.
 
+    A file with malformed records is refused before anything is published; see `read_csv` for these and
+    for `multi_line`.
+
     `base` must be storage all executors share. Dimensions are published first; the three fact tables
     follow together or not at all.
     """
-    raw_customers = _landed(
-        read_csv(spark, customer_csv, schemas.RAW_CUSTOMER, na_text_is_null=True), f"{base}/_landing/customers"
-    )
-    raw_transactions = _landed(
-        read_csv(
-            spark, transaction_csv, schemas.RAW_TRANSACTION, na_text_is_null=True, position=FILE_POSITION
+    landing = f"{base}/_landing"
+    files = {
+        "customers": read_csv(
+            spark, customer_csv, schemas.RAW_CUSTOMER, na_text_is_null=True, multi_line=multi_line, malformed=MALFORMED
+        ),
+        "transactions": read_csv(
+            spark, transaction_csv, schemas.RAW_TRANSACTION, na_text_is_null=True, position=FILE_POSITION,
+            multi_line=multi_line, malformed=MALFORMED,
         ),
-        f"{base}/_landing/transactions",
-    )
-    load_dimensions(spark, raw_customers, raw_transactions, base)
-    return load_facts(spark, raw_customers, raw_transactions, base)
+    }
+    try:
+        raw = _landed(files, landing)
+        load_dimensions(spark, raw["customers"], raw["transactions"], base)
+        return load_facts(spark, raw["customers"], raw["transactions"], base)
+    finally:
+        remove_dataset(spark, landing)
+        remove_dataset(spark, f"{base}/_places")
+
 
+def _landed(files: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The parsed files in columns. Text is parsed once; later steps read only the columns they need.
 
-def _landed(df: DataFrame, path: str) -> DataFrame:
-    """The parsed file in columns. Text is parsed once; later steps read only the columns they need."""
-    replace_dataset(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    Malformed records are counted in the pass that writes. Any of them rejects the whole input.
+    """
+    landed, broken = {}, []
+    for name, df in files.items():
+        seen = Observation(name)
+        counted = df.observe(seen, F.count_if(MALFORMED).alias("n")).drop(MALFORMED)
+        replace_dataset(counted, f"{folder}/{name}")
+        if seen.get["n"]:
+            broken.append(f"{name}: {seen.get['n']} malformed records")
+        landed[name] = df.sparkSession.read.schema(counted.schema).parquet(f"{folder}/{name}")
+    if broken:
+        raise InputRejected("; ".join(broken))
+    return landed
 
 
 def load_dimensions(
@@ -102,6 +129,7 @@ def load_dimensions(
     published = published_batch(spark, base, "dimensions")
     batch = published + 1
     old = {n: read_batches(spark, base, n, s, published) for n, s in DIMENSION_TABLES.items()}
+
     def stage(df: DataFrame, table: str) -> DataFrame:
         stage_rows(df, base, table, batch)
         return read_batch(spark, base, table, df.schema, batch)
@@ -201,13 +229,27 @@ SHOP_FILES = {
 }
 
 
-def refresh_shop(spark: SparkSession, source: str, base: str) -> dict[str, DataFrame]:
-    """Replace the four shop tables by the files in `source`; nothing of their old content stays."""
-    tables = {}
-    for name, (schema, delimiter) in SHOP_FILES.items():
-        df = read_csv(spark, f"{source}/{name}.csv", schema, delimiter, na_text_is_null=True)
-        replace_dataset(df, f"{base}/{name}")
-        tables[name] = spark.read.schema(schema).parquet(f"{base}/{name}")
+def refresh_shop(
+    spark: SparkSession, source: str, base: str, multi_line: bool = False
+) -> dict[str, DataFrame]:
+    """Replace the four shop tables by the files in `source`; nothing of their old content stays.
+
+    No table changes before all four files are read and found free of malformed records.
+    """
+    files = {
+        name: read_csv(
+            spark, f"{source}/{name}.csv", schema, delimiter, na_text_is_null=True, multi_line=multi_line,
+            malformed=MALFORMED,
+        )
+        for name, (schema, delimiter) in SHOP_FILES.items()
+    }
+    landing, tables = f"{base}/_landing", {}
+    try:
+        for name, df in _landed(files, landing).items():
+            replace_dataset(df, f"{base}/{name}")
+            tables[name] = spark.read.schema(SHOP_FILES[name][0]).parquet(f"{base}/{name}")
+    finally:
+        remove_dataset(spark, landing)
     return tables
 
 

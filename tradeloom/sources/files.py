@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tradeloom.functions import blank_to_null
+from tradeloom.functions.text import is_present
+
+_RECORD = "__record"
 
 
 def read_csv(
@@ -18,11 +21,18 @@ def read_csv(
     date_format: str = "yyyy-MM-dd",
     na_text_is_null: bool = False,
     position: str | None = None,
+    multi_line: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
     """CSV with a header line: columns by name, types from `schema`, a cell that does not fit is NULL.
 
-    The header is read first (one line); columns beyond the schema are skipped by the parser. Cells
-    with line breaks are not supported: `multiLine` would make every file a single task.
+    The header is read first (one line); columns beyond the schema are skipped by the parser.
+
+    `multi_line` reads quoted line breaks as part of their cell, quotes in it doubled. It makes every file
+    a single task, so it is off by default; a quoted line break then gives malformed records.
+
+    `malformed` names a boolean column to add: the record has more or fewer cells than the header, or a
+    cell that is neither missing (blank; with `na_text_is_null` any spelling of it) nor fits its type.
 
     `position` names a column to add that sorts rows as they stand in their file: the byte offset of
     the block a task read, then the order of reading within it.
@@ -34,20 +44,45 @@ def read_csv(
     if missing:
         raise ValueError(f"{path} lacks the columns {sorted(missing)}")
     in_file = [wanted.get(name.lower(), StructField(name, StringType())) for name in header]
+    if multi_line:
+        reader = reader.option("multiLine", True).option("escape", '"')
+    record = [StructField(_RECORD, StringType())] if malformed else []
     df = (
-        reader.schema(StructType(in_file))
+        reader.schema(StructType([*in_file, *record]))
         .option("dateFormat", date_format)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _RECORD)
         .option("enforceSchema", False)
         .csv(path)
     )
+    if malformed:
+        df = df.withColumn(malformed, _is_malformed(in_file, delimiter, multi_line, na_text_is_null))
     place = F.struct(
         F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")
     )
-    df = df.select(*schema.names, *([place.alias(position)] if position else []))
+    added = [*([place.alias(position)] if position else []), *([malformed] if malformed else [])]
+    df = df.select(*schema.names, *added)
     return blank_to_null(df) if na_text_is_null else df
 
 
+def _is_malformed(fields: list[StructField], delimiter: str, multi_line: bool, na_text_is_null: bool) -> Column:
+    """Does a record that the parser found fault with have a fault other than a missing cell?
+
+    Such a record is parsed again into texts; Spark reports no fault for most records, so this is rare.
+    """
+    cells = ", ".join(f"c{i} STRING" for i in range(len(fields)))
+    options = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RECORD}
+    if multi_line:
+        options |= {"multiLine": "true", "escape": '"'}
+    texts = F.from_csv(F.col(_RECORD), f"{cells}, {_RECORD} STRING", options)
+    fault = texts[_RECORD].isNotNull()
+    for i, field in enumerate(fields):
+        text = texts[f"c{i}"]
+        present = is_present(text) if na_text_is_null else text != ""
+        fault |= F.coalesce(present, F.lit(False)) & F.col(field.name).isNull()
+    return F.col(_RECORD).isNotNull() & F.coalesce(fault, F.lit(True))
+
+
 def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A document collection, one JSON document per line; fields a document lacks are NULL."""
     return spark.read.schema(schema).json(path)
@@ -77,6 +112,12 @@ def append_dataset(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def remove_dataset(spark: SparkSession, path: str) -> None:
+    """Remove a dataset that a job itself has written, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A report as a directory of CSV parts with a header; the row order of `df` is kept."""
     df.write.mode("overwrite").option("header", True).csv(path)
