@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import decontam, langid, ngram_join, packing, substring
-from tradeloom.llm.queries import languages, table, tokenizer
+from tradeloom.llm.queries import language_model, table, tokenizer
 from tradeloom.llm.scratch import drop, new_path
 
 #: SQL cannot express the learned, tokenising and template stages; tests hold every stage against brute force.
@@ -20,10 +20,7 @@ ORACLE_SQL = None
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in a language that the model knows; texts that are NULL or have no letter go, rows
     without id are judged like others."""
-    found = languages(docs).filter(F.col("lang_pred") != langid.UNKNOWN)
-    found = found.select(F.col("doc_id").alias("__known")).distinct()
-    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
-    return lettered.join(found, F.col("doc_id").eqNullSafe(F.col("__known")), "left_semi").select(*docs.columns)
+    return langid.in_known_language(docs, language_model(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

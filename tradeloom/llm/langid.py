@@ -125,28 +125,39 @@ def train(sample: list[tuple[str, str]], train_runs: int, seed: int = 7) -> tupl
     return languages, crf.fit(features, kinds, rows, truth, len(languages), FEATURES)
 
 
+def _labelled(languages: list[str], model: crf.Model, batches):
+    """Slices of rows, each with its texts' languages and their shares."""
+    scores = _WordScores(model)
+    for rows, texts in slices(batches, "text"):
+        words = Slice(texts)
+        best, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        if words.words and languages:
+            emitted, lettered = scores.look_up(words.words)
+            found = crf.marginals(emitted, crf.chains(words.lengths), model.transitions)
+            document = np.repeat(np.arange(len(texts)), words.lengths)[lettered]
+            sums = np.stack([np.bincount(document, found[lettered, k], len(texts)) for k in range(len(languages))], 1)
+            total = np.bincount(document, minlength=len(texts))
+            for i in np.flatnonzero(total):
+                k = int(sums[i].argmax())
+                best[i], share[i] = languages[k], min(1.0, sums[i, k] / total[i])
+        yield rows, best, share
+
+
 def _predicted(languages: list[str], model: crf.Model):
     def run(batches):
-        scores = _WordScores(model)
-        for batch in batches:
-            for rows, texts in slices([batch], "text"):
-                words = Slice(texts)
-                best, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                if words.words and languages:
-                    emitted, lettered = scores.look_up(words.words)
-                    found = crf.marginals(emitted, crf.chains(words.lengths), model.transitions)
-                    document = np.repeat(np.arange(len(texts)), words.lengths)[lettered]
-                    sums = np.stack(
-                        [np.bincount(document, found[lettered, k], len(texts)) for k in range(len(languages))], 1
-                    )
-                    total = np.bincount(document, minlength=len(texts))
-                    for i in np.flatnonzero(total):
-                        k = int(sums[i].argmax())
-                        best[i], share[i] = languages[k], min(1.0, sums[i, k] / total[i])
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(best, pa.string()), pa.array(share, pa.float64())],
-                    names=["doc_id", "lang_pred", "score"],
-                )
+        for rows, best, share in _labelled(languages, model, batches):
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), pa.array(best, pa.string()), pa.array(share, pa.float64())],
+                names=["doc_id", "lang_pred", "score"],
+            )
+
+    return run
+
+
+def _known_only(languages: list[str], model: crf.Model):
+    def run(batches):
+        for rows, best, _ in _labelled(languages, model, batches):
+            yield rows.filter(pa.array([lang != UNKNOWN for lang in best], pa.bool_()))
 
     return run
 
@@ -181,3 +192,12 @@ def identify(docs: DataFrame, model: tuple[list[str], crf.Model]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         _predicted(*model), "doc_id bigint, lang_pred string, score double"
     )
+
+
+def in_known_language(docs: DataFrame, model: tuple[list[str], crf.Model]) -> DataFrame:
+    """The rows of `docs` to which `identify` gives a language, with all their columns.
+
+    Rows are judged one by one where they are read, so that no text is shuffled; rows without doc_id and
+    repeated rows are judged like others.
+    """
+    return docs.mapInArrow(_known_only(*model), docs.schema)

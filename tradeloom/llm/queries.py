@@ -48,10 +48,9 @@ def tokenizer() -> dict:
     }
 
 
-def languages(docs: DataFrame) -> DataFrame:
-    """Documents with the language that a model learned from the training fold gives them."""
-    model = langid.learn_languages(docs.filter(~_held_out(TRAIN_LANGUAGE)))
-    return langid.identify(docs, model)
+def language_model(docs: DataFrame):
+    """The languages and the model learned from the training fold."""
+    return langid.learn_languages(docs.filter(~_held_out(TRAIN_LANGUAGE)))
 
 
 @_query
@@ -78,7 +77,8 @@ def op3_warc(spark, folder):
 
 @_query
 def op4_language_id(spark, folder):
-    found = languages(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs, language_model(docs))
     return found.select("doc_id", _held_out(TRAIN_LANGUAGE).alias("held_out"), "lang_pred", "score")
 
 
