@@ -66,9 +66,15 @@ def test_one_id_with_two_texts_ties_their_groups(spark):
     ]
 
 
-def test_large_cluster_is_split_into_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("pivots", [1, 16])
+def test_large_cluster_is_split_into_blocks(spark, monkeypatch, pivots):
     rows = corpus(random.Random(4))
+    # A chain of texts, each like the next only, and a second group that shares many shingles with it.
+    words = [f"c{k}" for k in range(160)]
+    rows += [(2000 + k, " ".join(words[3 * k : 3 * k + 60])) for k in range(30)]
+    rows += [(3000 + k, " ".join(words[:30] + [f"x{n}" for n in range(20 + k)])) for k in range(12)]
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 100)
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
     assert tuples(ngram_join.near_duplicate_groups(documents(spark, rows))) == brute(rows)
 
 

@@ -10,9 +10,13 @@ s times the size of either, so all but a few rows drop out before the product:
 3. Of the rows left, ranges of shingles give each shingle's number of rows. A row's rarest shared
    shingles, one more than it could do without, must include one that a partner has among its own:
    rows that meet there, directly or through others, form a cluster.
-4. Each cluster's rows go to one task, or to one task per pair of blocks if there are too many, which
-   multiplies them and drops counts below the bound that follows from the two sizes. Of the links found
-   it returns a spanning forest; the connected components of all forests are the result.
+4. Each cluster's rows go to one task, which multiplies them and drops counts below the bound that
+   follows from the two sizes. Of the links found it returns a spanning forest; the connected components
+   of all forests are the result.
+5. A cluster of too many rows is cut into blocks. Each block is multiplied by itself and by a few rows of
+   the cluster that go to every block, which makes one tree of most rows of a large group. A link that is
+   still missing has an end outside the cluster's largest tree: those rows are multiplied by all blocks.
+   So the work grows with the cluster and with what its largest group leaves, not with pairs of blocks.
 
 Overlap counts never leave a task, and no list of pairs of a shingle's rows is ever made.
 """
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.blocks import by_column, columns_for, exchange, first_of_runs
@@ -31,6 +35,7 @@ from tradeloom.llm.words import Slice, column_of, window_hashes
 from tradeloom.operators.matching import join_side_keys
 
 BLOCK_SHINGLES = 2_000_000
+PIVOTS = 16  # rows of a large cluster that go to all its blocks; sets the amount of work, not the result
 
 
 def _bound(size, percent: int):
@@ -243,8 +248,8 @@ def _product(percent: int):
         ids = table.column("doc_id").to_numpy()
         sizes = table.column("n_shingles").to_numpy()
         cluster = table.column("cluster").to_numpy()
-        block = table.column("block").to_numpy()
-        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
+        left = table.column("left").to_numpy(zero_copy_only=False)
+        right = table.column("right").to_numpy(zero_copy_only=False)
         blobs = table.column("shingles").to_pylist()
         order = np.lexsort((ids, cluster))
         links = []
@@ -252,14 +257,65 @@ def _product(percent: int):
             rows = order[part]
             if len(rows) > 1:
                 sets = [np.frombuffer(blobs[r], np.uint64) for r in rows]
-                left, right = block[rows] == a, block[rows] == b
-                found = _linked(sizes[rows], sets, left, right, percent)
+                found = _linked(sizes[rows], sets, left[rows], right[rows], percent)
                 links += [(int(ids[rows[x]]), int(ids[rows[y]])) for x, y in found]
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
 
+_ROW = ("doc_id", "n_shingles", "shingles", "cluster")
+
+
+def _multiplied(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """(a, b): a spanning forest per task of the links between rows marked `left` and rows marked `right`."""
+    return rows.groupBy(*keys).applyInArrow(_product(percent), "a bigint, b bigint")
+
+
+def _within_blocks(large: DataFrame, percent: int) -> DataFrame:
+    """Links within the blocks of large clusters, and of a few rows of each cluster to all its blocks."""
+    drawn = Window.partitionBy("cluster").orderBy(F.xxhash64("doc_id"), "doc_id")
+    pivots = (
+        large.select("cluster", "doc_id").withColumn("__place", F.row_number().over(drawn))
+        .filter(F.col("__place") <= PIVOTS).select("cluster", "doc_id").distinct()
+    )
+    elsewhere = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block"))
+    guests = large.join(pivots, ["cluster", "doc_id"]).withColumn("block", F.explode(elsewhere))
+    both = [F.lit(True).alias("left"), F.lit(True).alias("right")]
+    rows = large.select(*_ROW, "block", *both).unionAll(guests.select(*_ROW, "block", *both))
+    return _multiplied(rows, ["cluster", "block"], percent)
+
+
+def _across_blocks(large: DataFrame, inner: DataFrame, percent: int) -> DataFrame:
+    """Links between rows outside each cluster's largest tree of `inner` and all rows of the cluster."""
+    trees = connected_components(inner)
+    labelled = (
+        large.select("doc_id", "cluster", (F.octet_length("shingles") / 8).alias("entries"))
+        .join(trees, F.col("doc_id") == F.col("node"), "left")
+        .withColumn("tree", F.coalesce("component", "doc_id"))
+    )
+    counts = labelled.groupBy("cluster", "tree").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("cluster").agg(F.max_by("tree", F.struct("n", "tree")).alias("largest"))
+    largest, _ = save(largest, "largest-trees")
+    outside = labelled.join(largest, "cluster").filter("tree <> largest").select("doc_id", "cluster", "entries")
+    outside, _ = save(outside, "outside")
+    parts = outside.groupBy(*join_side_keys("cluster")).agg(
+        F.ceil(F.sum("entries") / BLOCK_SHINGLES).cast("int").alias("parts")
+    )
+    parts, _ = save(parts.select("cluster", "parts"), "outside-parts")
+    met = large.join(parts, "cluster")
+    one = met.join(outside.select("cluster", "doc_id").distinct(), ["cluster", "doc_id"], "left_semi").select(
+        *_ROW, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).cast("int").alias("part"),
+        F.lit(True).alias("left"), F.lit(False).alias("right"),
+    )
+    other = met.select(
+        *_ROW, "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(False).alias("left"), F.lit(True).alias("right"),
+    )
+    return _multiplied(one.unionAll(other), ["cluster", "block", "part"], percent)
+
+
 def _cluster_links(rows: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """(a, b): links of all clusters, a spanning forest of each task's."""
     members = rows.select("doc_id", "n_shingles", "shingles").join(
@@ -270,21 +326,20 @@ def _cluster_links(rows: DataFrame, clusters: DataFrame, percent: int) -> DataFr
     sizes = members.groupBy(*join_side_keys("cluster")).agg(
         F.ceil(F.sum(entries) / BLOCK_SHINGLES).cast("int").alias("blocks")
     )
+    divided, _ = save(sizes.filter("blocks > 1").select("cluster", "blocks"), "large-clusters")
     total = members.agg(F.sum(entries)).first()[0] or 0
     tasks = max(64, int(total // (BLOCK_SHINGLES // 4)))
-    placed = members.join(sizes.select("cluster", "blocks"), "cluster").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    )
-    # A block meets itself and every other block of its cluster; small clusters share a task.
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    alone = F.col("blocks") == 1
-    pairs = pairs.select(
-        "doc_id", "n_shingles", "shingles", "cluster", "block",
-        F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"),
-        F.when(alone, F.pmod(F.xxhash64("cluster"), F.lit(tasks))).otherwise(F.lit(-1)).alias("task"),
-        F.when(alone, F.lit(-1)).otherwise(F.col("cluster")).cast("bigint").alias("large"),
+    # Small clusters share a task.
+    small = members.join(divided, "cluster", "left_anti").select(
+        *_ROW, F.lit(True).alias("left"), F.lit(True).alias("right"),
+        F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task"),
     )
-    return pairs.groupBy("task", "large", "a", "b").applyInArrow(_product(percent), "a bigint, b bigint")
+    links = _multiplied(small, ["task"], percent)
+    if divided.isEmpty():
+        return links
+    large = members.join(divided, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    inner, _ = save(_within_blocks(large, percent), "block-links")
+    return links.unionAll(inner).unionAll(_across_blocks(large, inner, percent))
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
