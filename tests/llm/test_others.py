@@ -108,6 +108,20 @@ def test_leaks_and_reparameterised_questions(spark, limit):
     assert _contaminated(spark, [], items).collect() == [] and _contaminated(spark, docs, []).collect() == []
 
 
+def test_verbatim_copies_without_literal_words(spark):
+    items = [
+        (1, "2 4 6 8 10 12 14 16 18 20"), (2, "17 + 25 = 42, 8 x 9 = 72, 100 / 4 = 25"),
+        (3, "Anna Bert Carl Dora Emil Frida Georg Hanna Ida Jakob"),
+    ]
+    docs = [(i, f"We print: {text} and go on.") for i, text in items]
+    docs += [(4, "Other: 3 5 7 9 11 13 15 17 19 21 end."), (5, "anna bert carl dora emil frida georg hanna ida jakob")]
+    for limit in (1_000_000, 0):
+        found = _contaminated(spark, docs, items, broadcast_windows=limit)
+        assert {(r[0], r[1], r[2], r[3]) for r in found.collect()} == {
+            (1, 1, 1.0, False), (2, 2, 1.0, False), (3, 3, 1.0, False), (5, 3, 1.0, False),
+        }
+
+
 def test_leaks_equal_plain_search(spark, folder):
     found = tuples(QUERIES["op6_decontamination"](spark, folder).select("doc_id", "item_id"))
     read = lambda t: [tuple(r) for r in spark.read.parquet(f"{folder}/{t}.parquet").select(*c[t]).collect()]
