@@ -122,6 +122,25 @@ def test_verbatim_copies_without_literal_words(spark):
         }
 
 
+def test_leaks_in_other_case_place_and_form(spark):
+    item = "Tom has 3 apples. Mia buys 2. Tom gives Mia 1. How many apples does Mia have?"
+    short, noun = "Bring the red box to Paris", "Der Hund frisst jeden Tag 3 Kilo Fleisch und trinkt Wasser"
+    run = "They drove 120 km from York to Bath and then rested for a while near the old bridge"
+    items = [(1, item), (2, short), (3, noun), (4, run)]
+    docs = [
+        (1, item.replace("Tom", "Ann").replace("Mia", "Bob").replace("3", "7").replace("2", "5")),
+        (2, "He said: please, Bring the red box to Paris now"), (3, "and so he asked to bring the red box to paris"),
+        (4, noun.upper().replace("3", "5")), (5, noun.lower().replace("3", "5")), (6, item.upper()),
+        (7, run.replace("120 km", "90km").replace("York", "New York").replace("Bath", "Santa Fe")),
+        (8, run.replace("and then", "and only much later then")),
+    ]
+    found = _contaminated(spark, docs, items)
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in found.collect()}
+    assert got == {
+        (1, 1): True, (2, 2): False, (3, 2): False, (4, 3): True, (5, 3): True, (6, 1): False, (7, 4): True, (8, 4): False,
+    }
+
+
 def test_leaks_equal_plain_search(spark, folder):
     found = tuples(QUERIES["op6_decontamination"](spark, folder).select("doc_id", "item_id"))
     read = lambda t: [tuple(r) for r in spark.read.parquet(f"{folder}/{t}.parquet").select(*c[t]).collect()]
