@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tradeloom.llm import crf, langid, quality
@@ -64,6 +65,24 @@ def test_language_edges(spark):
     assert langid.identify(docs.limit(0), model).collect() == []
 
 
+def test_every_byte_of_long_words_counts(spark):
+    # Words of 100 bytes that differ behind their first 24 bytes only, and sentences without spaces.
+    draw = np.random.default_rng(5)
+    word = lambda letters: "x" * 30 + "".join(draw.choice(list(letters), 70))
+    rows = [(k, word("abcd" if k % 2 else "wyzv"), "aa" if k % 2 else "zz") for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.learn_languages(docs.filter("doc_id < 40"))
+    got = langid.identify(docs.filter("doc_id >= 40"), model).join(docs, "doc_id")
+    assert got.filter("lang_pred = lang").count() == 40
+    assert [k for _, k in langid.word_languages(model, f"{word('abcd')} {word('wyzv')} 1")] == ["aa", "zz", "und"]
+    # Each run of bytes is in one piece, and a word's pieces weigh by its length.
+    for length in (1, 24, 25, 26, 47, 48, 49, 300):
+        found = langid.pieces(bytes(draw.integers(97, 123, length).astype(np.uint8)))
+        features = langid.word_features(found)[:, 1:]
+        assert (features < langid.FEATURES).sum() == sum(max(0, length + 3 - n) for n in (2, 3, 4))
+        assert langid.piece_weights(found).sum() == (1 if length <= 24 else pytest.approx((length - 1) / 23))
+
+
 def test_quality_of_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     found = QUERIES["op1_quality_classifier"](spark, folder).filter("held_out")

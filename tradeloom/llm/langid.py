@@ -1,7 +1,9 @@
 """Language identification of words and documents with a linear-chain conditional random field.
 
 Each word has a label, its language. Features of a word are the word itself (lexicon) and its runs of
-two to four bytes with marks at both ends, which include its prefixes and suffixes; all are hashed.
+two to four bytes with marks at both ends, which include its prefixes and suffixes; all are hashed. A word
+of more than 24 bytes (also a sentence without spaces) is several positions of the chain, which share out
+all its runs of bytes; in a document's mean they weigh by their lengths.
 Transitions between the languages of neighbouring words are learned from code-switched training chains,
 spliced from runs of words of documents in different languages. Forward-backward gives each word's
 probabilities; a document's are their mean over words with letters.
@@ -24,6 +26,8 @@ from tradeloom.llm.words import Slice, slices
 RUN = 8
 FEATURES = 1 << 16
 _BYTES = 24
+_STEP = _BYTES - 1  # runs that begin in a piece of a longer word; the last ones need three bytes more
+_WHOLE, _GOES_ON, _LAST = range(3)
 _EDGES = "0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…–—¿¡§°•"
 _KEPT_WORDS = 200_000
 UNKNOWN = "und"
@@ -36,24 +40,44 @@ def _plain(word: bytes) -> bytes:
     return text.encode() if text.isalpha() or any(map(str.isalpha, text)) else b""
 
 
-def word_features(words: list[bytes]) -> np.ndarray:
-    """A row of hashed feature numbers for each plain word; FEATURES fills the row up."""
-    count = len(words)
-    grid = np.zeros((count, _BYTES + 2), np.uint64)
-    grid[:, 1:-1] = np.array(words, f"S{_BYTES}").view(np.uint8).reshape(count, _BYTES)
-    lengths = np.minimum(np.fromiter(map(len, words), np.int64, count), _BYTES)
-    grid[:, 0] = 1
-    grid[np.arange(count), lengths + 1] = 2
-    lexicon = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, count) % np.uint64(FEATURES)
-    found = [lexicon[:, None]]
+def pieces(word: bytes) -> list[bytes]:
+    """Positions of the chain that a plain word takes: each the word's lexicon number in two bytes, which
+    piece it is, and its bytes with the marks. Words without letters are one empty piece."""
+    if not word:
+        return [b""]
+    lexicon = (xxhash.xxh64_intdigest(word) % FEATURES).to_bytes(2, "little")
+    marked = b"\x01" + word + b"\x02"
+    if len(marked) <= _BYTES + 2:
+        return [lexicon + bytes([_WHOLE]) + marked]
+    last = -(-(len(marked) - _BYTES - 2) // _STEP) * _STEP
+    found = [lexicon + bytes([_GOES_ON]) + marked[k : k + _BYTES + 2] for k in range(0, last, _STEP)]
+    return [*found, lexicon + bytes([_LAST]) + marked[last:]]
+
+
+def piece_weights(found: list[bytes]) -> np.ndarray:
+    """What each piece counts in its document: 1 for a word, by length in longer words, 0 without letters."""
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) - 3
+    last = np.fromiter((bool(p) and p[2] == _LAST for p in found), bool, len(found))
+    return np.where(lengths <= 0, 0, np.where(last, (lengths - 3) / _STEP, 1.0))
+
+
+def word_features(found: list[bytes]) -> np.ndarray:
+    """A row of hashed feature numbers for each piece; FEATURES fills the row up."""
+    count, width = len(found), _BYTES + 2
+    raw = np.array(found, f"S{width + 3}").view(np.uint8).reshape(count, width + 3)
+    grid = raw[:, 3:].astype(np.uint64)
+    lengths = np.maximum(np.fromiter(map(len, found), np.int64, count) - 3, 0)
+    begins = np.where(raw[:, 2] == _GOES_ON, _STEP, width)
+    columns = [(raw[:, 0].astype(np.uint64) | raw[:, 1].astype(np.uint64) << np.uint64(8))[:, None]]
     for n in (2, 3, 4):
-        code = np.full((count, _BYTES + 3 - n), n, np.uint64)
+        code = np.full((count, width + 1 - n), n, np.uint64)
         for k in range(n):
             code = code * np.uint64(0x100000001B3) + grid[:, k : k + code.shape[1]]
         code = ((code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(48)) % np.uint64(FEATURES)
-        inside = np.arange(code.shape[1])[None, :] + n <= lengths[:, None] + 2
-        found.append(np.where(inside, code, np.uint64(FEATURES)))
-    features = np.hstack(found).astype(np.int32)
+        at = np.arange(code.shape[1])[None, :]
+        inside = (at + n <= lengths[:, None]) & (at < begins[:, None])
+        columns.append(np.where(inside, code, np.uint64(FEATURES)))
+    features = np.hstack(columns).astype(np.int32)
     features[lengths == 0] = FEATURES
     return features
 
@@ -67,7 +91,7 @@ class _Known(dict):
 
 
 class _WordScores:
-    """Scores of words, kept for words seen before."""
+    """Scores of words' pieces, kept for words seen before."""
 
     def __init__(self, model: crf.Model):
         self.model = model
@@ -76,21 +100,27 @@ class _WordScores:
     def clear(self):
         self.known, self.done = _Known(), 0
         self.scores = np.empty((0, self.model.weights.shape[1]), np.float32)
-        self.lettered = np.empty(0, bool)
+        self.weights = np.empty(0)
+        self.first = np.zeros(1, np.int64)  # where each word's pieces begin
 
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of the words, and whether they have letters."""
-        if len(self.known) > _KEPT_WORDS:
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores and weights of the words' pieces, and how many pieces each word has."""
+        if len(self.known) > _KEPT_WORDS or len(self.scores) > 2 * _KEPT_WORDS:
             self.clear()
         numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if len(self.known) > self.done:
-            new = [_plain(w) for w in list(self.known)[self.done :]]
-            for begin in range(0, len(new), 16384):
-                some = new[begin : begin + 16384]
-                self.scores = np.vstack([self.scores, self.model.scores(word_features(some))])
-            self.lettered = np.concatenate([self.lettered, np.array([len(w) > 0 for w in new], bool)])
+            parts = [pieces(_plain(w)) for w in list(self.known)[self.done :]]
+            new = [p for found in parts for p in found]
+            scores = [self.model.scores(word_features(new[k : k + 16384])) for k in range(0, len(new), 16384)]
+            self.scores = np.vstack([self.scores, *scores])
+            self.weights = np.concatenate([self.weights, piece_weights(new)])
+            counts = np.fromiter(map(len, parts), np.int64, len(parts))
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
             self.done = len(self.known)
-        return self.scores[numbers], self.lettered[numbers]
+        counts = self.first[numbers + 1] - self.first[numbers]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        places = np.repeat(self.first[numbers], counts) + within
+        return self.scores[places], self.weights[places], counts
 
 
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
@@ -112,7 +142,7 @@ def train(sample: list[tuple[str, str]], train_runs: int, seed: int = 7) -> tupl
     draw = np.random.default_rng(seed)
     runs: list[tuple[int, list[bytes]]] = []
     for lang, text in sorted(sample):
-        words = [w for w in map(_plain, text.encode().split()) if w]
+        words = [p for w in map(_plain, text.encode().split()) if w for p in pieces(w)]
         runs += [(languages.index(lang), words[k : k + RUN]) for k in range(0, len(words), RUN)]
     if not runs:
         return [], crf.Model(np.zeros((FEATURES + 1, 1), np.float32), np.zeros((1, 1), np.float32))
@@ -132,11 +162,14 @@ def _labelled(languages: list[str], model: crf.Model, batches):
         words = Slice(texts)
         best, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if words.words and languages:
-            emitted, lettered = scores.look_up(words.words)
-            found = crf.marginals(emitted, crf.chains(words.lengths), model.transitions)
-            document = np.repeat(np.arange(len(texts)), words.lengths)[lettered]
-            sums = np.stack([np.bincount(document, found[lettered, k], len(texts)) for k in range(len(languages))], 1)
-            total = np.bincount(document, minlength=len(texts))
+            emitted, weights, counts = scores.look_up(words.words)
+            document = np.repeat(np.repeat(np.arange(len(texts)), words.lengths), counts)
+            lengths = np.bincount(document, minlength=len(texts))
+            found = crf.marginals(emitted, crf.chains(lengths), model.transitions)
+            sums = np.stack(
+                [np.bincount(document, found[:, k] * weights, len(texts)) for k in range(len(languages))], 1
+            )
+            total = np.bincount(document, weights, len(texts))
             for i in np.flatnonzero(total):
                 k = int(sums[i].argmax())
                 best[i], share[i] = languages[k], min(1.0, sums[i, k] / total[i])
@@ -168,9 +201,11 @@ def word_languages(model: tuple[list[str], crf.Model], text: str) -> list[tuple[
     words = Slice([text.encode()])
     if not words.words or not languages:
         return [(w.decode(), UNKNOWN) for w in words.words]
-    emitted, lettered = _WordScores(field).look_up(words.words)
-    found = crf.marginals(emitted, crf.chains(words.lengths), field.transitions).argmax(1)
-    return [(w.decode(), languages[k] if has else UNKNOWN) for w, k, has in zip(words.words, found, lettered)]
+    emitted, weights, counts = _WordScores(field).look_up(words.words)
+    found = crf.marginals(emitted, crf.chains(np.array([len(emitted)])), field.transitions)
+    word = np.repeat(np.arange(len(counts)), counts)
+    sums = np.stack([np.bincount(word, found[:, k] * weights) for k in range(len(languages))], 1)
+    return [(w.decode(), languages[k.argmax()] if k.any() else UNKNOWN) for w, k in zip(words.words, sums)]
 
 
 def learn_languages(
@@ -186,8 +221,8 @@ def identify(docs: DataFrame, model: tuple[list[str], crf.Model]) -> DataFrame:
 
     lang_pred is `und` and score 0 for NULL texts, texts without letters, and if the training rows had
     no language. A tie goes to the language that sorts first. Any doc_id, NULL too, is passed through;
-    repeated rows give repeated results; other columns are not read. Whole texts are labelled; chains
-    are cut after 64 words.
+    repeated rows give repeated results; other columns are not read. Whole texts are labelled, with all
+    bytes of every word; chains are cut after 64 positions.
     """
     return docs.select("doc_id", "text").mapInArrow(
         _predicted(*model), "doc_id bigint, lang_pred string, score double"
