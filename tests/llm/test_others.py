@@ -225,6 +225,32 @@ def test_redirects_and_canonical_links_carry_blocks(spark):
     assert urls.judge(pages.limit(0), URL_RULES).collect() == []
 
 
+def test_links_of_every_form_are_resolved(spark):
+    link, meta = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="{}">'
+    page = "http://h.net/a/b/c.html?q=1"
+    forms = [
+        (link.format("index.html"), "h.net/a/b/index.html"), (link.format("../de/1"), "h.net/a/de/1"),
+        (link.format("?page=2"), "h.net/a/b/c.html?page=2"), (link.format("./x/../../y/."), "h.net/a/y/"),
+        ('<base href="/root/">' + link.format("z"), "h.net/root/z"), (link.format("../../../../up"), "h.net/up"),
+        (meta.format("0; url=/x;sid=1"), "h.net/x;sid=1"), (meta.format("0;URL=/x?a=1&amp;b=2"), "h.net/x?a=1&b=2"),
+        (meta.format("0; url='/x&#x2F;y&#38;z'"), "h.net/x/y&z"), (meta.format("3, http://k.net/r?u=http://o.net/"), "k.net/r?u=http://o.net/"),
+        (link.format("/r?u=http://o.net/"), "h.net/r?u=http://o.net/"), ("<meta content='0; url=&quot;/q&quot;' http-equiv=Refresh>", "h.net/q"),
+        (link.format("mailto:a@b"), None), (link.format("#top"), None), ('<link rel="alternate" href="/canonical">', None),
+        ('<META HTTP-EQUIV=refresh CONTENT=0;url=/plain>', "h.net/plain"), (link.format("a&#36;b"), "h.net/a/b/a$b"),
+    ]
+    rows = [(k, page.replace("h.net", f"h{k}.net"), html) for k, (html, _) in enumerate(forms)]
+    both = link.format("/one") + link.format("two") + meta.format("0; url=/three") + meta.format("5; url=/four")
+    rows.append((99, "http://m.net/", both))
+    got = {(r["here"], r["there"]) for r in urls.aliases(_pages(spark, rows)).collect()}
+    expected = {
+        (f"h{k}.net/a/b/c.html?q=1", there.replace("h.net", f"h{k}.net")) for k, (_, there) in enumerate(forms) if there
+    }
+    assert got == expected | {("m.net/", f"m.net/{x}") for x in ("one", "two", "three", "four")}
+    leads = [(1, "http://shop.com/a/b", '<meta http-equiv="refresh" content="0; url=../de/1">'), (2, "http://a.net/", link.format("b"))]
+    verdicts = {r["page_id"]: r["verdict"] for r in urls.judge(_pages(spark, leads), URL_RULES).collect()}
+    assert verdicts == {1: "block", 2: "allow"}
+
+
 # --- vectors --------------------------------------------------------------------------------------------------
 
 

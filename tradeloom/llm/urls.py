@@ -8,6 +8,11 @@ precedence over a block that arrives through an alias.
 
 from __future__ import annotations
 
+import html
+import re
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,28 +54,83 @@ def _place(url: Column) -> Column:
     return F.concat(host_of(url), F.when(path == "", "/").otherwise(path), query)
 
 
-def _absolute(link: Column, base: Column) -> Column:
-    """`link` as found on the page `base`: absolute, without scheme, or from the root; others are NULL."""
-    link = F.replace(F.trim(link), F.lit("&amp;"), F.lit("&"))
-    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
-    return (
-        F.when(F.contains(link, F.lit("://")), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(scheme, F.lit("://"), host_of(base), link))
-    )
+# A quoted value ends at its closing quote, whatever signs it holds; other quotes are signs like others.
+_VALUE = r"""\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)"""
+_TAG = re.compile(r"""<(link|meta|base)\b((?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)>""", re.I)
+_ATTRIBUTE = re.compile(rf"([^\s>=/\"']++)(?:{_VALUE})?+")
+_ENTITY = re.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);")
+_REFRESH = re.compile(r"\s*[\d.]*\s*[;,\s]\s*(?:url\s*=\s*)?(.*)", re.I | re.S)
+_BROKEN = re.compile(r"""\burl\s*=\s*["']?([^"'>\s]+)""", re.I)
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
+
+
+def _decoded(text: str) -> str:
+    """`text` with its entities replaced; an `&name` without semicolon may be part of a query and stays."""
+    return _ENTITY.sub(lambda found: html.unescape(found[0]), text)
+
+
+def _attributes(tag: str) -> dict[str, str]:
+    """A tag's attributes, of equal ones the first, with their entities decoded."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(tag):
+        value = value[1:-1] if len(value) > 1 and value[0] in "\"'" and value[0] == value[-1] else value
+        found.setdefault(name.lower(), _decoded(value))
+    return found
+
+
+def _redirect(content: str, tag: str) -> str:
+    """The target of a refresh; behind quotes within equal quotes, which end `content` early, as well."""
+    found = _REFRESH.fullmatch(content)
+    target = found[1].strip() if found else ""
+    if target[:1] in ("'", '"'):
+        target = target[1:].split(target[0])[0]
+    if not target and (broken := _BROKEN.search(tag)):
+        target = _decoded(broken[1])
+    return target
+
+
+def _resolved(base: str, link: str) -> str | None:
+    """`link` as found on a page with the base URL `base`; links of other kinds (`mailto:`) give None."""
+    link = re.sub(r"[\t\r\n]", "", link).strip(" ").replace(" ", "%20")
+    if not link or _SCHEME.match(link):
+        return link if "://" in link[: link.find("/") + 2] else None
+    try:
+        return urljoin(base, link)
+    except ValueError:  # no host could be read
+        return None
+
+
+def page_links(url: str, page: str) -> list[str]:
+    """All canonical links and refresh targets of a page, resolved against its first `<base href>` or its URL."""
+    base, links = None, []
+    for kind, tag in _TAG.findall(page):
+        has = _attributes(tag)
+        if kind.lower() == "base":
+            base = base or (_resolved(url, has["href"]) if "href" in has else None)
+        elif kind.lower() == "link":
+            links += [has["href"]] if "canonical" in has.get("rel", "").lower().split() and "href" in has else []
+        elif has.get("http-equiv", "").strip().lower() == "refresh":
+            links.append(_redirect(has.get("content", ""), tag))
+    return [target for link in links if (target := _resolved(base or url, link))]
+
+
+def _targets(batches):
+    for batch in batches:
+        pairs = [
+            (url, target)
+            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist())
+            for target in page_links(url, page)
+        ]
+        columns = [pa.array([p[k] for p in pairs], pa.string()) for k in range(2)]
+        yield pa.RecordBatch.from_arrays(columns, names=["url", "target"])
 
 
 def aliases(pages: DataFrame) -> DataFrame:
-    """(here, there): places of each page and of its canonical link and its redirect, where it has them."""
-    html = F.col("html").cast("string")
-    link = F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
-    meta = F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0)
-    canonical = F.regexp_extract(link, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    redirect = F.regexp_extract(meta, r"""(?is)\burl\s*=\s*["']?([^"'>\s;]+)""", 1)
-    targets = pages.filter(F.col("url").contains("://") & html.isNotNull()).select(
-        "url", F.explode(F.array(canonical, redirect)).alias("target")
-    )
-    targets = targets.filter("target <> ''").withColumn("target", _absolute(F.col("target"), F.col("url")))
+    """(here, there): places of each page and of its canonical links and its redirects, where it has them."""
+    page = F.col("html").cast("string")
+    # Only pages that may have such tags are handed to Python.
+    some = pages.filter(F.col("url").contains("://") & page.rlike(r"(?i)<link\b|http-equiv"))
+    targets = some.select("url", page.alias("html")).mapInArrow(_targets, "url string, target string")
     targets = targets.filter(F.col("target").contains("://"))
     edges = targets.select(_place(F.col("url")).alias("here"), _place(F.col("target")).alias("there"))
     return edges.filter("here <> there").distinct()
@@ -97,7 +157,8 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
 
     The verdict is the rule's; without a rule it is `block` if the page's component of redirects and
     canonical links holds a URL that a rule blocks, else `allow`. URLs that are NULL or lack `://` have
-    an empty host and path, fit no rule, and are allowed. NULL html has no links. Any page_id is passed
+    an empty host and path, fit no rule, and are allowed. NULL html has no links. Links may be relative to
+    the page or its `<base href>`; all canonical and refresh tags count. Any page_id is passed
     through, NULL too; repeated rows give repeated results; other columns are not read.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
