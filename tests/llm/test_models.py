@@ -65,6 +65,13 @@ def test_language_edges(spark):
     assert langid.identify(docs.limit(0), model).collect() == []
 
 
+def test_stage_without_languages_keeps_texts_with_letters(spark):
+    rows = [(1, "uno dos", None), (2, None, None), (3, "12 - !", None), (None, "x", None), (4, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = langid.in_known_language(docs, langid.learn_languages(docs))
+    assert tuples(kept.select("doc_id")) == [(1,), (None,)]
+
+
 def test_every_byte_of_long_words_counts(spark):
     # Words of 100 bytes that differ behind their first 24 bytes only, and sentences without spaces.
     draw = np.random.default_rng(5)

@@ -156,12 +156,15 @@ def train(sample: list[tuple[str, str]], train_runs: int, seed: int = 7) -> tupl
 
 
 def _labelled(languages: list[str], model: crf.Model, batches):
-    """Slices of rows, each with its texts' languages and their shares."""
+    """Slices of rows, each with its texts' languages, their shares, and which texts have letters."""
     scores = _WordScores(model)
     for rows, texts in slices(batches, "text"):
         words = Slice(texts)
         best, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if words.words and languages:
+        lettered = np.zeros(len(texts), bool)
+        if words.words and not languages:
+            lettered[:] = [any(map(_plain, words.words[a:b])) for a, b in zip(words.starts, words.starts[1:])]
+        elif words.words:
             emitted, weights, counts = scores.look_up(words.words)
             document = np.repeat(np.repeat(np.arange(len(texts)), words.lengths), counts)
             lengths = np.bincount(document, minlength=len(texts))
@@ -170,15 +173,16 @@ def _labelled(languages: list[str], model: crf.Model, batches):
                 [np.bincount(document, found[:, k] * weights, len(texts)) for k in range(len(languages))], 1
             )
             total = np.bincount(document, weights, len(texts))
+            lettered = total > 0
             for i in np.flatnonzero(total):
                 k = int(sums[i].argmax())
                 best[i], share[i] = languages[k], min(1.0, sums[i, k] / total[i])
-        yield rows, best, share
+        yield rows, best, share, lettered
 
 
 def _predicted(languages: list[str], model: crf.Model):
     def run(batches):
-        for rows, best, share in _labelled(languages, model, batches):
+        for rows, best, share, _ in _labelled(languages, model, batches):
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(best, pa.string()), pa.array(share, pa.float64())],
                 names=["doc_id", "lang_pred", "score"],
@@ -189,8 +193,9 @@ def _predicted(languages: list[str], model: crf.Model):
 
 def _known_only(languages: list[str], model: crf.Model):
     def run(batches):
-        for rows, best, _ in _labelled(languages, model, batches):
-            yield rows.filter(pa.array([lang != UNKNOWN for lang in best], pa.bool_()))
+        for rows, best, _, lettered in _labelled(languages, model, batches):
+            kept = [has and (lang != UNKNOWN or not languages) for lang, has in zip(best, lettered.tolist())]
+            yield rows.filter(pa.array(kept, pa.bool_()))
 
     return run
 
@@ -230,7 +235,8 @@ def identify(docs: DataFrame, model: tuple[list[str], crf.Model]) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, model: tuple[list[str], crf.Model]) -> DataFrame:
-    """The rows of `docs` to which `identify` gives a language, with all their columns.
+    """The rows of `docs` to which `identify` gives a language, with all their columns; if the training
+    rows had no language, the rows whose text has a letter.
 
     Rows are judged one by one where they are read, so that no text is shuffled; rows without doc_id and
     repeated rows are judged like others.
