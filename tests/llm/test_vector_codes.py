@@ -1,0 +1,117 @@
+import hashlib
+import math
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tradeloom.llm import vector_codes
+
+SCHEMA = "vec_id bigint, embedding array<double>, label string, code int, part int, entry int, error int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, None, None, None, None) for r in rows], SCHEMA)
+
+
+def brute(rows, parts, entries, rounds):
+    """In plain Python integers, every distance evaluated."""
+    usable = [r for r in rows if r[1] and all(x is not None and math.isfinite(x) for x in r[1]) and len(r[1]) % parts == 0]
+    usable.sort(key=lambda r: (r[0] is None, r[0], r[1]))
+    usable = [r for r in usable if len(r[1]) == len(usable[0][1])]
+    width = len(usable[0][1]) // parts
+    cut = [
+        [[math.floor(256 * x) for x in r[1][j * width : (j + 1) * width]] for j in range(parts)] for r in usable
+    ]
+    books = [[list(c[j]) for c in cut[:entries]] for j in range(parts)]
+
+    def assigned():
+        return [
+            [min((sum((a - b) ** 2 for a, b in zip(c[j], e)), k) for k, e in enumerate(books[j])) for j in range(parts)]
+            for c in cut
+        ]
+
+    for _ in range(rounds):
+        found = assigned()
+        for j in range(parts):
+            groups = defaultdict(list)
+            for c, f in zip(cut, found):
+                groups[f[j][1]].append(c[j])
+            for k, own in groups.items():
+                books[j][k] = [sum(x) // len(own) for x in zip(*own)]
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    found = assigned()
+    by_label = defaultdict(int)
+    for r, f in zip(usable, found):
+        by_label[r[2]] += sum(d for d, _ in f)
+    return sorted(
+        (
+            (r[0], "".join(f"{k:02x}" for _, k in f), sum(d for d, _ in f), by_label[r[2]], digest)
+            for r, f in zip(usable, found)
+        ),
+        key=repr,
+    )
+
+
+def coded(spark, rows, **settings):
+    return sorted((tuple(r) for r in vector_codes.encode_vectors(table(spark, rows), **settings).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed, parts, entries", [(1, 4, 8), (2, 2, 5), (3, 1, 16)])
+def test_equals_brute_force(spark, seed, parts, entries):
+    draw = random.Random(seed)
+    point = lambda: [round(draw.gauss(0, 0.3), 2) for _ in range(8)]
+    rows = [(i, point(), draw.choice(["a", "b", None])) for i in range(120)]
+    rows += [(i, rows[i][1], "a") for i in range(30)]  # repeated rows
+    rows += [(500 + i, rows[7][1], "hot") for i in range(60)]
+    rows += [(None, point(), None), (None, point(), "b"), (-5, None, "a"), (-4, [0.0] * 7 + [math.nan], "a")]
+    rows += [(-3, [0.0] * 7 + [math.inf], "a"), (-2, [0.0] * 7 + [None], "a"), (-1, [], "a"), (900, [0.5] * 4, "a")]
+    draw.shuffle(rows)
+    assert coded(spark, rows, parts=parts, entries=entries) == brute(rows, parts, entries, 2)
+
+
+def test_fewer_rows_than_entries_and_none(spark):
+    rows = [(3, [0.25, -0.25], "x"), (1, [-0.001, 1.0], None)]
+    assert coded(spark, rows, parts=2) == brute(rows, 2, 64, 2)
+    assert coded(spark, [], parts=2) == []
+    assert coded(spark, [(1, None, "a"), (2, [1.0], "a")], parts=2) == []
+
+
+def test_ties_go_to_the_lower_entry(spark):
+    # Entries 0 and 2 of the only part are the same point, entry 1 is as far from the fourth row.
+    rows = [(1, [0.0], "x"), (2, [2.0], "x"), (3, [0.0], "x"), (4, [1.0], "x")]
+    assert [c for _, c, *_ in coded(spark, rows, parts=1, entries=3, rounds=0)] == ["00", "01", "00", "00"]
+
+
+def test_too_large_components_are_an_error(spark):
+    with pytest.raises(Exception, match="lies beyond"):
+        coded(spark, [(1, [1e30], "x")], parts=1)
+
+
+@pytest.mark.parametrize("pivots", [1, 2, 4, 9])
+def test_bounds_prune_and_change_nothing(pivots):
+    draw = np.random.default_rng(pivots)
+    parts = draw.integers(-120, 120, (3000, 4)).astype(np.int32)
+    entries = np.concatenate([parts[:60], parts[:4]]).astype(np.int64)
+    fixed = vector_codes.choose_pivots(entries[None], pivots)[0]
+    near = lambda some: vector_codes.distances(some, fixed).astype(np.float32)
+    found, squared, evaluated = vector_codes.nearest_entries(parts, near(parts), entries, near(entries))
+    every = ((parts[:, None, :] - entries[None]) ** 2).sum(2)
+    assert (found == every.argmin(1)).all() and (squared == every.min(1)).all()
+    assert evaluated < every.size * (0.3 if pivots >= 4 else 0.6)
+
+
+def test_large_components_keep_their_order():
+    parts = np.array([[1 << 27, 0], [-(1 << 27), 5], [(1 << 27) - 1, 0]], np.int32)
+    entries = np.array([[(1 << 27) - 1, 0], [1 << 27, 0], [-(1 << 27), 5]], np.int64)
+    near = lambda some: vector_codes.distances(some, entries[:1]).astype(np.float32)
+    found, squared, _ = vector_codes.nearest_entries(parts, near(parts), entries, near(entries))
+    assert found.tolist() == [1, 2, 0] and squared.tolist() == [0, 0, 0]
+
+
+def test_whole_table_equals_brute_force(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in vectors.collect()]
+    got = sorted((tuple(r) for r in vector_codes.encode_vectors(vectors).collect()), key=repr)
+    assert got == brute(rows, 16, 64, 2)

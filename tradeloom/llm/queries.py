@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import chat, decontam, langid, neardup, ngram_join, packing, quality, substring, urls, warc
+from tradeloom.llm import (
+    chat,
+    decontam,
+    langid,
+    neardup,
+    ngram_join,
+    packing,
+    quality,
+    spelling,
+    substring,
+    urls,
+    vector_codes,
+    warc,
+)
 from tradeloom.llm.sql import STATEMENTS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +125,16 @@ def op10_embedding_neardup(spark, folder):
     return neardup.near_duplicate_vectors(table(spark, folder, "embeddings"))
 
 
+@_query
+def op11_vector_codes(spark, folder):
+    return vector_codes.encode_vectors(table(spark, folder, "embeddings"))
+
+
+@_query
+def op12_spelling_variants(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"), misspelt_one_in=199)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

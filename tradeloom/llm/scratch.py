@@ -46,9 +46,9 @@ def drop(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
-def save(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """`df` written to a fresh folder and read back, and the folder."""
+def save(df: DataFrame, label: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """`df` written to a fresh folder, in one of its own per value of `by`, and read back; and the folder."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path), path
