@@ -188,35 +188,40 @@ def _remains(batches):
             powers[0] = 1
             terms = letters * powers.cumprod()
             ends = terms.cumsum()
-            place = np.arange(len(letters), dtype=np.uint64)
-            changed = mixed(mixed(ends[-1] - terms + np.uint64(len(letters))) ^ place)
+            place = np.arange(len(letters))
+            changed = mixed(mixed(ends[-1] - terms + np.uint64(len(letters))) ^ place.astype(np.uint64))
             # Letters behind the one taken out move one place to the front.
             inverse = np.uint64(pow(_BASE, -1, 1 << 64))
-            shorter = mixed(ends - terms + (ends[-1] - ends) * inverse)
-            whole = mixed(ends[-1:])
-            for role, hashes in ((_AS_CHANGED, changed), (_AS_SHORTENED, shorter), (_WHOLE, whole)):
+            shorter, at = np.unique(mixed(ends - terms + (ends[-1] - ends) * inverse), return_index=True)
+            for role, hashes, places in (
+                (_AS_CHANGED, changed, place), (_AS_SHORTENED, shorter, at), (_WHOLE, mixed(ends[-1:]), place[:1]),
+            ):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(hashes), i, np.int64)), pa.array(np.full(len(hashes), role, np.int32)),
-                        pa.array(hashes.view(np.int64)),
+                        pa.array(hashes.view(np.int64)), pa.array(places, pa.int32()),
                     ],
-                    names=["id", "role", "key"],
+                    names=["id", "role", "key", "place"],
                 )
 
 
 def _met_by_remains(words: DataFrame) -> DataFrame:
     """Like `_met_in_tries`, for pairs whose longer word has more than LONGEST letters."""
     long = words.filter(F.length("word") >= LONGEST).withColumn("id", F.xxhash64("word"))
-    remains = long.select("id", "word").mapInArrow(_remains, "id bigint, role int, key bigint")
-    one = remains.select(F.col("id").alias("a"), F.col("role").alias("role_a"), "key")
+    remains = long.select("id", "word").mapInArrow(_remains, "id bigint, role int, key bigint, place int")
+    one = remains.select(F.col("id").alias("a"), F.col("role").alias("role_a"), "key", "place")
     two = remains.select(F.col("id").alias("b"), F.col("role").alias("role_b"), "key")
     changed = (F.col("role_a") == _AS_CHANGED) & (F.col("role_b") == _AS_CHANGED) & (F.col("a") != F.col("b"))
     lost = (F.col("role_a") == _AS_SHORTENED) & (F.col("role_b") == _WHOLE)
-    pairs = one.join(two, "key").filter(changed | lost).select("a", "b", lost.alias("lost")).distinct()
+    pairs = one.join(two, "key").filter(changed | lost)
+    pairs = pairs.groupBy("a", "b", lost.alias("lost")).agg(F.min("place").alias("place"))
     left = long.select(F.col("id").alias("a"), "word", "n")
     right = long.select(F.col("id").alias("b"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     met = pairs.join(left, "a").join(right, "b").filter(F.length("word") > LONGEST)
-    met = met.filter(F.levenshtein("word", "other", 1) == 1)
+    without = lambda w: F.concat(
+        F.substring(w, F.lit(1), F.col("place")), F.substring(w, F.col("place") + 2, F.length(w))
+    )
+    met = met.filter(without("word") == F.when(F.col("lost"), F.col("other")).otherwise(without("other")))
     return met.select("word", "n", "other", "other_n", "lost")
 
 
