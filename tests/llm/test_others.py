@@ -193,6 +193,19 @@ def test_first_fit_equals_plain_search():
     assert packing.first_fit([], 100) == ([], [])
 
 
+def test_packing_of_very_long_runs(spark):
+    from tokenizers import Tokenizer
+
+    reader = Tokenizer.from_file(tokenizer()["path"])
+    runs = ["\n" * 1_000_000, " " * 1_000_000, "a\t" + "\r\n" * 500_000 + "b", "x" * 300_000, "=" * 1_000_000, " \n" * 9_999]
+    ids = {i: [*reader.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(runs)}
+    pieces = packing.pack(documents(spark, list(enumerate(runs))), tokenizer()).collect()
+    for p in pieces:
+        part = ids[p["doc_id"]][p["start"] : p["start"] + p["length"]]
+        assert zlib.crc32(np.array(part, "<u4").tobytes()) == p["ids_crc32"] and p["doc_tokens"] == len(ids[p["doc_id"]])
+    assert sum(p["length"] for p in pieces) == sum(map(len, ids.values()))
+
+
 def test_packing_wastes_little(spark, folder):
     pieces = packing.pack(spark.read.parquet(f"{folder}/documents.parquet"), tokenizer(), group_pieces=10**6)
     used, bins = pieces.agg({"length": "sum", "sequence_id": "approx_count_distinct"}).first()

@@ -48,7 +48,8 @@ def test_defined_edges(spark):
 
 def test_rewriting_keeps_all_columns(spark):
     rows = [(1, "a  b\nc d"), (2, "z a b c d y"), (3, None), (None, "a b c d"), (4, "a b c d")]
-    docs = documents(spark, rows).withColumn("extra value", documents(spark, rows).doc_id * 2)
+    docs = documents(spark, rows)
+    docs = docs.withColumn("extra value", docs.doc_id * 2)
     found = substring.without_repeated_windows(docs, 4)
     assert found.columns == [c for c in docs.columns] + ["n_removed"]
     got = {(r["doc_id"], r["text"], r["extra value"], r["n_removed"]) for r in found.collect()}

@@ -8,6 +8,7 @@ with room, found in a tournament tree whose inner nodes hold the larger capacity
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 
 import numpy as np
@@ -24,13 +25,17 @@ _PACKED = (
     "sequence_id bigint, offset bigint"
 )
 GROUP_PIECES = 8192
+#: White space of this length or more in a row is beyond what `tiktoken` can safely split.
+_LONG_SPACE = 10_000
+_LONG_SPACES = re.compile(rf"\s{{{_LONG_SPACE}}}")
 
 
 class Tokenizer:
     """Token ids of a tokenizer file, as the `tokenizers` library gives them without special tokens.
 
     If the same vocabulary is at hand as ranks (`ranks`, with its `pattern`), texts without a special
-    token's string are encoded by `tiktoken`, which gives the same ids four times as fast.
+    token's string are encoded by `tiktoken`, which gives the same ids four times as fast. Its splitting
+    into words takes stack for every blank of a run, so texts with very long runs go through `tokenizers`.
     """
 
     def __init__(self, path: str, ranks: str | None = None, pattern: str | None = None):
@@ -49,7 +54,8 @@ class Tokenizer:
 
     def ids(self, text: str) -> list[int]:
         if self._fast is not None and not any(s in text for s in self._special):
-            return self._fast.encode_ordinary(text)
+            if len(text) < _LONG_SPACE or not _LONG_SPACES.search(text):
+                return self._fast.encode_ordinary(text)
         return self._reader.encode(text, add_special_tokens=False).ids
 
 

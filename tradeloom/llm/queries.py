@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm import (
     chat,
     decontam,
+    katz,
     langid,
     neardup,
     ngram_join,
@@ -33,7 +34,7 @@ URL_RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-TRAIN_QUALITY, TRAIN_LANGUAGE = (4, 2), (5, 0)
+TRAIN_QUALITY, TRAIN_LANGUAGE, TRAIN_MODEL = (4, 2), (5, 0), (10, 0)
 
 
 def _query(build):
@@ -135,6 +136,11 @@ def op12_spelling_variants(spark, folder):
     return spelling.spelling_variants(table(spark, folder, "documents"), misspelt_one_in=199)
 
 
+@_query
+def op13_lm_scoring(spark, folder):
+    return katz.score_texts(table(spark, folder, "documents"), ~_held_out(TRAIN_MODEL))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
