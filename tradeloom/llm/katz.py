@@ -15,7 +15,7 @@ The work is the product of two tables, texts by n-grams, in blocks (see `blocks`
 
 1. each slice of texts sends the n-grams it has, with its counts, to ranges of hashes; a range sums them
    up and answers every slice; counts of counts and totals come from the same table of answers;
-2. with the counts of its n-grams at hand a slice evaluates its words from the longest n-gram downwards. It
+2. the texts are read again, and with the counts of its n-grams at hand a slice evaluates its words from the longest n-gram downwards. It
    puts out what its own n-grams add to the weights of their histories (an n-gram has one slice as its
    owner), and which weights its words need;
 3. weights are summed up by history into a table, partitioned by order, and joined to the words that back off.
@@ -54,6 +54,7 @@ _FOUND = (
     "score double, level int, history bigint, spare double, lower double"
 )
 _TEXT, _WEIGHT, _NEED = range(3)
+_OTHER_SLICES = "the table of texts came in other slices when it was read again"
 
 
 def _pieces(text: bytes, limit: int):
@@ -146,41 +147,49 @@ def _pieces_of(rows: pa.RecordBatch, texts: list, order: int, first_row: int):
         before = np.concatenate([earlier, own])[len(own) :]
 
 
+def _numbered(batches, order: int):
+    """Slices of texts, each with its number: the same ones whenever the same table is read."""
+    task = TaskContext.get().partitionId()
+    part, row = task << 32, task << 40
+    for rows, texts in slices(batches, "text", PIECE_BYTES):
+        for some in _pieces_of(rows, texts, order, row):
+            yield part, some
+            part += 1
+        row += len(texts)
+
+
+def _rows(block: list[int] | None, part: int, datas: list[bytes]) -> pa.RecordBatch:
+    parts, datas = pa.array([part] * len(datas), pa.int64()), pa.array(datas, pa.binary())
+    if block is None:
+        return pa.RecordBatch.from_arrays([parts, datas], names=["part", "data"])
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), parts, datas], names=["block", "part", "data"])
+
+
 def _sent(order: int, columns: int):
-    """Per slice: to each range of hashes its n-grams with their counts, and to any range the slice itself."""
+    """Per slice: to each range of hashes its n-grams with their counts."""
 
     def run(batches):
-        task = TaskContext.get().partitionId()
-        part, row = task << 32, task << 40
-        for rows, texts in slices(batches, "text", PIECE_BYTES):
-            for some in _pieces_of(rows, texts, order, row):
-                blocks, datas = [], []
-                state = _state(order, [s[2:] for s in some])
-                known = _Slice(order, *state)
-                sent: dict[int, list] = {}
-                for k in range(1, order + 1):
-                    places, grams, number = known.distinct(k)
-                    counts = np.bincount(number, known.trains[places], len(grams)).astype(np.int64)
-                    asked = np.bincount(number, known.scored[places] & ~known.trains[places], len(grams)) > 0
-                    for column, own in by_column(grams, column_of(grams, columns)):
-                        entry = (k, _packed_hashes(grams[own]), _small(counts[own]), np.packbits(asked[own]))
-                        sent.setdefault(column, []).append(entry)
-                for column, entries in sent.items():
-                    blocks.append(column)
-                    datas.append(pickle.dumps(entries, 5))
-                words, place = np.unique(state[0], return_inverse=True)
-                text = (words, _small(place), *state[1:], [(r, d, t) for r, d, t, *_ in some])
-                blocks.append(hash((task, part)) % columns)
-                datas.append(pickle.dumps(zstandard.compress(pickle.dumps(text, 5), 3), 5))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(blocks, pa.int32()), pa.array(np.full(len(blocks), part, np.int64)),
-                        pa.array(datas, pa.binary()),
-                    ],
-                    names=["block", "part", "data"],
-                )
-                part += 1
-            row += len(texts)
+        for part, some in _numbered(batches, order):
+            known = _Slice(order, *_state(order, [s[2:] for s in some]))
+            sent: dict[int, list] = {}
+            for k in range(1, order + 1):
+                places, grams, number = known.distinct(k)
+                counts = np.bincount(number, known.trains[places], len(grams)).astype(np.int64)
+                asked = np.bincount(number, known.scored[places] & ~known.trains[places], len(grams)) > 0
+                for column, own in by_column(grams, column_of(grams, columns)):
+                    entry = (k, _packed_hashes(grams[own]), _small(counts[own]), np.packbits(asked[own]))
+                    sent.setdefault(column, []).append(entry)
+            yield _rows(list(sent), part, [pickle.dumps(entries, 5) for entries in sent.values()])
+
+    return run
+
+
+def _texts(order: int):
+    """Per slice: its texts, compressed."""
+
+    def run(batches):
+        for part, some in _numbered(batches, order):
+            yield _rows(None, part, [zstandard.compress(pickle.dumps(some, 5), 3)])
 
     return run
 
@@ -190,16 +199,11 @@ def _answered(order: int):
     text outside the training set has them; and the range's counts of counts."""
 
     def run(table: pa.Table) -> pa.Table:
-        column = table.column("block")[0].as_py() if table.num_rows else 0
+        column = table.column("block")[0].as_py()
         parts, datas = [], []
         entries: dict[int, list] = {k: [] for k in range(1, order + 1)}
         for part, data in zip(table.column("part").to_pylist(), table.column("data").to_pylist()):
-            data = pickle.loads(data)
-            if isinstance(data, bytes):
-                parts.append(part)
-                datas.append(pickle.dumps((None, data), 5))
-                continue
-            for k, hashes, counts, asked in data:
+            for k, hashes, counts, asked in pickle.loads(data):
                 entries[k].append((part, _unpacked_hashes(hashes), counts, asked))
         answers: dict[int, list] = {}
         statistics = []
@@ -276,17 +280,12 @@ def _evaluated(order: int, exponents: list[float], tokens: int, texts: int):
     def discount(k: int, counts: np.ndarray) -> np.ndarray:
         return (1 + 1 / np.maximum(counts, 1)) ** (exponents[k - 1] + 1)
 
-    def run(table: pa.Table) -> pa.Table:
-        state, answers = None, []
-        for data in table.column("data").to_pylist():
-            column, data = pickle.loads(data)
-            if column is None:
-                state = pickle.loads(zstandard.decompress(data))
-            else:
-                answers.append((column, data))
-        answers.sort(key=lambda a: a[0])
-        words, place, lengths, trains, owners = state
-        known = _Slice(order, words[place], lengths, trains)
+    def run(answered: pa.Table, again: pa.Table) -> pa.Table:
+        if again.num_rows != 1:
+            raise RuntimeError(_OTHER_SLICES)
+        some = pickle.loads(zstandard.decompress(again.column("data")[0].as_py()))
+        answers = sorted(map(pickle.loads, answered.column("data").to_pylist()), key=lambda a: a[0])
+        known = _Slice(order, *_state(order, [s[2:] for s in some]))
         total, owned, wanted, first = [], [], [], []
         scored = np.flatnonzero(known.scored)
         for k in range(1, order + 1):
@@ -299,6 +298,8 @@ def _evaluated(order: int, exponents: list[float], tokens: int, texts: int):
             )
             counts = np.concatenate([a[1].astype(np.int64) for a in own]) if own else np.empty(0, np.int64)
             places, grams, number = known.distinct(k)
+            if len(counts) != len(grams):
+                raise RuntimeError(_OTHER_SLICES)
             at_place = np.zeros(len(known.hashes), np.int64)
             at_place[places] = counts[number]
             total.append(at_place)
@@ -324,7 +325,7 @@ def _evaluated(order: int, exponents: list[float], tokens: int, texts: int):
             preceding.append(hashes)
 
         text = known.text[scored]
-        number = len(lengths)
+        number = len(some)
         counts = total[0][scored]
         level = np.zeros(len(scored), np.int64)
         score = np.zeros(len(scored))
@@ -335,8 +336,8 @@ def _evaluated(order: int, exponents: list[float], tokens: int, texts: int):
             score[there] = np.log10(discount(k, c[there]) * c[there] / history[k - 1][scored[there]])
         sums = lambda values: np.bincount(text, values, number)
         rows = {
-            "row": [r for r, _, _ in owners], "doc_id": [d for _, d, _ in owners],
-            "held_out": [not t for _, _, t in owners], "n_tokens": np.bincount(text, minlength=number),
+            "row": [s[0] for s in some], "doc_id": [s[1] for s in some],
+            "held_out": [not s[2] for s in some], "n_tokens": np.bincount(text, minlength=number),
             "n_known": sums(counts > 0).astype(np.int64), "base": sums(np.log10(counts + 0.1)), "score": sums(score),
         }
 
@@ -385,7 +386,7 @@ def _table(rows: dict, weights: list, needs: list) -> pa.Table:
     return pa.concat_tables(tables)
 
 
-def score_texts(docs: DataFrame, trains: Column, order: int = 3) -> DataFrame:
+def score_texts(docs: DataFrame, trains: Column, order: int = 2) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
@@ -398,6 +399,10 @@ def score_texts(docs: DataFrame, trains: Column, order: int = 3) -> DataFrame:
     NULL and empty texts have one token, the end. Rows without doc_id, for which `trains` is NULL, do not
     train; repeated rows count each time. Without training texts every word is the unknown one: both scores
     are 0. An empty table gives no rows. Other columns are not read.
+
+    `docs` is read twice and must come in the same order in the same partitions, as stored tables do; it is
+    an error if it does not. What is shuffled grows with the distinct n-grams of a slice: about 1.6 times a
+    compressed table for pairs, 3 times for triples.
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text", F.coalesce(trains, F.lit(False)).alias("trains"))
@@ -412,9 +417,11 @@ def score_texts(docs: DataFrame, trains: Column, order: int = 3) -> DataFrame:
     exponents = [discount_exponent({r: n for (j, r), n in found.items() if j == k and r > 0}) for k in range(1, order + 1)]
     vocabulary, tokens = found.get((1, -1), 0), found.get((1, -2), 0)
 
+    again = texts.mapInArrow(_texts(order), "part bigint, data binary").groupBy("part")
     evaluated = (
         answers.filter(F.col("part") != _NO_PART)
         .groupBy("part")
+        .cogroup(again)
         .applyInArrow(_evaluated(order, exponents, tokens, trained), _FOUND)
     )
     results, _ = save(evaluated, "gram-results", by="kind")
