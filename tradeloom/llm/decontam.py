@@ -13,6 +13,7 @@ other numbers or names is caught and a chance likeness of templates is not.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.llm.memory import releasing
 from tradeloom.llm.scratch import save
 from tradeloom.llm.words import Slice, slices, window_hashes
 from tradeloom.operators.matching import join_side_keys
@@ -36,8 +38,11 @@ UNITS = (
 _LITERAL, _NUMBER, _UNIT, _NAME, _NOTHING = range(5)
 _NUMBER_FORM = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(%|st|nd|rd|th)?")
 _GLUED = re.compile(r"([+-]?\d[\d.,:/]*)-?([^\W\d_]+)")
-_ENDS = re.compile(r"[.!?:;|][\"')\]»”’]*$")
-_KEPT_WORDS = 200_000
+_END_MARKS = ".!?:;|"
+_ENDS = re.compile(rf"[{_END_MARKS}][\"')\]»”’]*$")
+#: Words that a task remembers, by their bytes, and bytes of text that it has in hand at once.
+_KEPT_BYTES = 8 << 20
+_SLICE_BYTES = 1 << 20
 _NEAR_BITS = 24
 
 
@@ -45,6 +50,11 @@ def _parsed(word: bytes) -> list[tuple[str, int, bool]]:
     """Cores of a word, a number and a unit glued to it apart: each with what it may be, and whether a
     sentence ends with it."""
     text = word.decode("utf-8", "replace")
+    # Most words: letters alone, or letters and one mark.
+    mark = "" if text.isalpha() else text[-1]
+    if not mark or (not mark.isalnum() and text[:-1].isalpha()):
+        core = text[:-1] if mark else text
+        return [(*_of_letters(core), mark in _END_MARKS if mark else False)]
     begin, end = 0, len(text)
     while begin < end and not text[begin].isalnum():
         begin += 1
@@ -57,19 +67,46 @@ def _parsed(word: bytes) -> list[tuple[str, int, bool]]:
     if _NUMBER_FORM.fullmatch(core):
         return [(core, _NUMBER, ends)]
     low = core.lower()
-    if low in _UNIT_SET:
-        return [(low, _UNIT, ends)]
-    glued = _GLUED.fullmatch(low)
+    glued = None if low in _UNIT_SET else _GLUED.fullmatch(low)
     if glued and glued[2] in _UNIT_SET:
         return [(glued[1], _NUMBER, False), (glued[2], _UNIT, ends)]
-    if len(core) > 1 and core[0].isupper() and core[1:] == core[1:].lower():
-        return [(low, _NAME, ends)]
-    return [(low, _LITERAL, ends)]
+    return [(*_of_letters(core), ends)]
+
+
+def _of_letters(core: str) -> tuple[str, int]:
+    """A core that is no number: in lower case, and what it may be."""
+    low = core.lower()
+    if low in _UNIT_SET:
+        return low, _UNIT
+    if low != core and len(core) > 1 and core[0].isupper() and core[1:] == core[1:].lower():
+        return low, _NAME
+    return low, _LITERAL
 
 
 _UNIT_SET = frozenset(UNITS)
 
 
+def _all_parsed(words: list[bytes]) -> tuple[list[str], list[int], list[bool], np.ndarray]:
+    """Cores, kinds and sentence ends of many words, and how many cores each word has.
+
+    Words of small letters alone are taken together, the others go through `_parsed`.
+    """
+    texts = b"\n".join(words).decode("utf-8", "replace").split("\n") if words else []
+    cores = "\n".join(texts).lower().split("\n") if words else []
+    kinds = [_UNIT if core in _UNIT_SET else _LITERAL for core in cores]
+    ends, counts, several = [False] * len(cores), np.ones(len(cores), np.int64), {}
+    for i, (text, core) in enumerate(zip(texts, cores)):
+        if text != core or not text.isalpha():
+            found = _parsed(words[i])
+            cores[i], kinds[i], ends[i] = found[0]
+            if len(found) > 1:
+                several[i], counts[i] = found[1:], len(found)
+    for i in sorted(several, reverse=True):
+        more = list(zip(*several[i]))
+        cores[i + 1 : i + 1], kinds[i + 1 : i + 1], ends[i + 1 : i + 1] = map(list, more)
+    return cores, kinds, ends, counts
+
+
 class _Vocabulary(dict):
     """Numbers words in the order in which they come up."""
 
@@ -85,27 +122,27 @@ class Templates:
         self._clear()
 
     def _clear(self):
-        self._numbers, self._done = _Vocabulary(), 0
+        self._numbers, self._done, self._bytes = _Vocabulary(), 0, 0
         self._cores: list[str] = []
         self._kinds, self._ends = np.empty(0, np.int8), np.empty(0, bool)
         self._hashes = np.empty(0, np.uint64)
         self._first = np.zeros(1, np.int64)  # where each word's cores begin
 
     def _learn(self) -> None:
-        parts = [_parsed(w) for w in list(self._numbers)[self._done :]]
-        new = [core for cores in parts for core in cores]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        fresh = list(islice(self._numbers, self._done, None))
+        self._bytes += sum(map(len, fresh)) + 16 * len(fresh)
+        cores, kinds, ends, counts = _all_parsed(fresh)
         self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(counts)])
-        self._cores += [core for core, _, _ in new]
-        self._kinds = np.concatenate([self._kinds, np.array([k for _, k, _ in new], np.int8)])
-        self._ends = np.concatenate([self._ends, np.array([e for _, _, e in new], bool)])
-        hashes = np.fromiter((xxhash.xxh64_intdigest(c) for c, _, _ in new), np.uint64, len(new))
+        self._cores += cores
+        self._kinds = np.concatenate([self._kinds, np.array(kinds, np.int8)])
+        self._ends = np.concatenate([self._ends, np.array(ends, bool)])
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, cores), np.uint64, len(cores))
         self._hashes = np.concatenate([self._hashes, hashes])
         self._done = len(self._numbers)
 
     def read(self, texts: list) -> "Templates":
         """Takes in some texts; the attributes below are theirs then."""
-        if len(self._numbers) > _KEPT_WORDS:
+        if self._bytes > _KEPT_BYTES:
             self._clear()
         words = Slice(texts)
         numbers = np.fromiter(map(self._numbers.__getitem__, words.words), np.int64, len(words.words))
@@ -260,12 +297,16 @@ def _document_windows(widths: list[int], known):
             near = np.zeros(1 << _NEAR_BITS, bool)
             near[wanted >> np.uint64(64 - _NEAR_BITS)] = True
         row = TaskContext.get().partitionId() << 40
-        for rows, texts in slices(batches, "text"):
+        for rows, texts in slices(batches, "text", _SLICE_BYTES):
             ids = rows.column("doc_id").to_pylist()
             templates.read(texts)
             out = []
+            reading = None
             for level in LEVELS:
+                del reading
                 reading = templates.reading(level)
+                if level and not reading.own.any():
+                    continue
                 for width in widths:
                     hashes, places, document = reading.windows(width)
                     if wanted is not None:
@@ -280,7 +321,7 @@ def _document_windows(widths: list[int], known):
             row += len(ids)
             yield _batch(out, _HITS)
 
-    return run
+    return releasing(run)
 
 
 def _groups() -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm import crf
+from tradeloom.llm.memory import releasing
 from tradeloom.llm.words import Slice, slices
 
 RUN = 8
@@ -197,7 +198,7 @@ def _known_only(languages: list[str], model: crf.Model):
             kept = [has and (lang != UNKNOWN or not languages) for lang, has in zip(best, lettered.tolist())]
             yield rows.filter(pa.array(kept, pa.bool_()))
 
-    return run
+    return releasing(run)
 
 
 def word_languages(model: tuple[list[str], crf.Model], text: str) -> list[tuple[str, str]]:
