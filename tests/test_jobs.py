@@ -212,7 +212,7 @@ def test_daily_job_writes_and_checks_reports(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM product").first()[0] == 2  # no deduplication here
     # A second run replaces, it does not add.
     jobs.run_daily(spark, source, base, target)
-    assert spark.read.parquet(f"{base}/orders").count() == 8
+    assert jobs.open_shop(spark, base)["orders"].count() == 8
 
 
 def test_every_bad_report_is_named(spark, tmp_path):
@@ -255,7 +255,7 @@ def test_malformed_input_leaves_the_shop_unchanged(spark, tmp_path, table, line)
         out.write(line + "\n")
     with pytest.raises(jobs.InputRejected, match=f"{table}: . malformed"):
         jobs.refresh_shop(spark, source, base)
-    after = {n: bag(spark.read.parquet(f"{base}/{n}")) for n in before}
+    after = {n: bag(df) for n, df in jobs.open_shop(spark, base).items()}
     assert after == before
     assert not (tmp_path / "tables" / "_landing").exists()
 

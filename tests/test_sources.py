@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from conftest import bag, rows
 from tradeloom import schemas
 from tradeloom.operators.ranking import keep_best
-from tradeloom.sources import batches, catalog, files
+from tradeloom.sources import catalog, files, snapshots
 from tradeloom.sources.settled import settle
 
 
@@ -114,24 +114,26 @@ def test_report_is_csv_with_header(spark, tmp_path):
 def test_unpublished_batches_stay_invisible(spark, tmp_path):
     base, schema = str(tmp_path), spark.createDataFrame([], "id int").schema
 
-    def stage(batch, *ids):
-        batches.stage_rows(spark.createDataFrame([(i,) for i in ids], schema), base, "t", batch)
+    def stage(*ids):
+        return snapshots.stage_rows(spark.createDataFrame([(i,) for i in ids], schema), base, "t")
+
+    def publish(folder):
+        old = snapshots.latest_snapshot(spark, base)
+        snapshots.publish(spark, old, snapshots.Staged({"t": [folder]}, load="step"))
 
     def visible():
-        upto = batches.published_batch(spark, base, "step")
-        return bag(batches.read_batches(spark, base, "t", schema, upto))
+        return bag(snapshots.latest_snapshot(spark, base).read(spark, "t", schema))
 
     assert visible() == []
-    stage(1, 1, 2)
+    first = stage(1, 2)
     assert visible() == []
-    batches.publish_batch(spark, base, "step", 1)
+    publish(first)
     assert visible() == [(1,), (2,)]
-    stage(2, 98, 99)  # fails before publishing
+    stage(98, 99)  # fails before publishing
     assert visible() == [(1,), (2,)]
-    stage(2, 3)  # next attempt replaces the leftovers
-    batches.publish_batch(spark, base, "step", 2)
+    publish(stage(3))  # the next attempt takes nothing of the leftovers
     assert visible() == [(1,), (2,), (3,)]
-    assert batches.published_batch(spark, base, "other step") == 0
+    assert snapshots.latest_snapshot(spark, base).loads == {"step": 2}
 
 
 def test_settled_table_is_read_from_disk(spark):
@@ -158,3 +160,40 @@ def test_table_is_swapped_for_its_own_deduplication(spark):
     best = keep_best(spark.table("swap_db.product"), ["product_id"], "list_price", ["product_id"])
     catalog.swap_table(best, "swap_db.product")
     assert bag(spark.table("swap_db.product").select("product_id", "list_price")) == [(1, Decimal("9.00")), (2, None)]
+
+
+def test_swaps_follow_each_other_and_readers_keep_theirs(spark):
+    catalog.swap_table(spark.range(3).toDF("k"), "swap_again")
+    for round_ in range(1, 5):
+        opened = spark.table("swap_again")
+        before = bag(opened)
+        catalog.swap_table(opened.selectExpr("k + 10 AS k"), "swap_again")
+        assert bag(spark.table("swap_again")) == [(10 * round_ + k,) for k in range(3)]
+        assert bag(opened) == before
+
+
+def test_swap_that_fails_leaves_the_table(spark):
+    catalog.swap_table(spark.range(3).toDF("k"), "swap_fails")
+    broken = spark.table("swap_fails").selectExpr("k + IF(k = 2, CAST('x' AS BIGINT), 1) AS k")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        catalog.swap_table(broken, "swap_fails")
+    assert bag(spark.table("swap_fails")) == [(0,), (1,), (2,)]
+    catalog.swap_table(spark.table("swap_fails").selectExpr("k * 2 AS k"), "swap_fails")
+    assert bag(spark.table("swap_fails")) == [(0,), (2,), (4,)]
+
+
+def test_swap_to_other_columns(spark, monkeypatch):
+    catalog.swap_table(spark.range(2).toDF("k"), "swap_columns")
+    catalog.swap_table(spark.table("swap_columns").selectExpr("k", "'a' AS v"), "swap_columns")
+    assert bag(spark.table("swap_columns")) == [(0, "a"), (1, "a")]
+    sql = type(spark).sql
+
+    def fails(self, text, *args, **more):
+        if "swap_columns__next RENAME" in text:
+            raise OSError("gone")
+        return sql(self, text, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", fails)
+    with pytest.raises(OSError, match="gone"):
+        catalog.swap_table(spark.table("swap_columns").selectExpr("k"), "swap_columns")
+    assert bag(spark.table("swap_columns")) == [(0, "a"), (1, "a")]

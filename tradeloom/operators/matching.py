@@ -40,15 +40,25 @@ def resolve_id(
 
 
 def new_rows(
-    incoming: DataFrame, existing: DataFrame, keys: Sequence[str], arrived: DataFrame | None = None
+    incoming: DataFrame,
+    existing: DataFrame | Sequence[DataFrame],
+    keys: Sequence[str],
+    arrived: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of `incoming` whose key is not in `existing` yet: appending them is safe to repeat.
 
+    A list of tables that are laid out by key (see `sources.key_index`) is matched as it lies, one after the
+    other: the incoming rows are shuffled once, into the tables' buckets, and the history not at all.
+
     `arrived`, any table with all keys of `incoming`, is for an `existing` that is a long history, which is
     then narrowed down to these keys first. While they are few enough to be broadcast, the history is
     filtered where it is read and not shuffled; an anti join alone would shuffle its keys on every load.
     Beyond that size both sides are shuffled by key.
     """
+    if not isinstance(existing, DataFrame):
+        for known in existing:
+            incoming = incoming.join(known.select(*keys), list(keys), "left_anti")
+        return incoming
     known = existing.select(*keys)
     if arrived is not None:
         met = arrived.groupBy(*join_side_keys(*keys)).agg(F.lit(True).alias("__met")).select(*keys)

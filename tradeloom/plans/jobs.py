@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -20,15 +21,19 @@ from tradeloom.operators.dimensions import (
     new_members,
 )
 from tradeloom.plans import reports, warehouse
-from tradeloom.sources.batches import (
-    publish_batch,
-    published_batch,
-    read_batch,
-    read_batches,
+from tradeloom.sources import key_index
+from tradeloom.sources.catalog import register_views
+from tradeloom.sources.files import empty, read_csv, remove_dataset, replace_dataset, write_report
+from tradeloom.sources.snapshots import (
+    Snapshot,
+    Staged,
+    compact,
+    discard,
+    latest_snapshot,
+    publish_on_latest,
+    read_folders,
     stage_rows,
 )
-from tradeloom.sources.catalog import register_views
-from tradeloom.sources.files import read_csv, remove_dataset, replace_dataset, write_report
 
 FILE_POSITION, MALFORMED = "file_position", "malformed"
 
@@ -43,6 +48,18 @@ FACT_TABLES = {
     "customers": schemas.DIM_CUSTOMERS,
     "transactions": schemas.TRANSACTIONS,
 }
+#: What no two rows of a table share. Loads at the same time must not add equal ones.
+KEYS = {
+    "countries": (("id",), ("country_name",)),
+    "states": (("id",), ("state_name", "country_id")),
+    "postcodes": (("postcode",),),
+    "members": (("dimension", "id"), ("dimension", "name")),
+    "products": (("product_id",),),
+    "customers": (("customer_id",),),
+    "transactions": (("transaction_id",),),
+}
+#: Beside each fact table lie its keys by bucket, which later loads are matched with.
+INDEXES = {table: f"{table}_keys" for table in FACT_TABLES}
 
 
 class LoadRejected(Exception):
@@ -67,16 +84,22 @@ class LoadResult:
 
 
 def open_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """All published tables by name; the simple dimensions as tables of their own."""
-    dims, facts = published_batch(spark, base, "dimensions"), published_batch(spark, base, "facts")
-    tables = {n: read_batches(spark, base, n, s, dims) for n, s in DIMENSION_TABLES.items()}
-    tables |= {n: read_batches(spark, base, n, s, facts) for n, s in FACT_TABLES.items()}
-    members = tables["members"]
-    return tables | {name: warehouse.dimension(members, name) for name in warehouse.NAME_COLUMNS}
+    """All tables of the latest snapshot by name; the simple dimensions as tables of their own."""
+    return _warehouse_tables(spark, latest_snapshot(spark, base))
+
+
+def _warehouse_tables(spark: SparkSession, snapshot: Snapshot) -> dict[str, DataFrame]:
+    tables = {n: snapshot.read(spark, n, s) for n, s in (DIMENSION_TABLES | FACT_TABLES).items()}
+    return tables | {name: warehouse.dimension(tables["members"], name) for name in warehouse.NAME_COLUMNS}
 
 
 def load_warehouse(
-    spark: SparkSession, customer_csv: str, transaction_csv: str, base: str, multi_line: bool = False
+    spark: SparkSession,
+    customer_csv: str,
+    transaction_csv: str,
+    base: str,
+    multi_line: bool = False,
+    key_buckets: int = key_index.BUCKETS,
 ) -> LoadResult:
     """Add what is new in the two files. Running it again on the same files adds nothing.
 
@@ -84,9 +107,10 @@ def load_warehouse(
     for `multi_line`.
 
     `base` must be storage all executors share. Dimensions are published first; the three fact tables
-    follow together or not at all.
+    follow together or not at all. Loads may run at the same time: one that comes second is computed anew
+    if the first has added any of its keys (see `snapshots`).
     """
-    landing = f"{base}/_landing"
+    landing = _landing(base)
     files = {
         "customers": read_csv(
             spark, customer_csv, schemas.RAW_CUSTOMER, na_text_is_null=True, multi_line=multi_line, malformed=MALFORMED
@@ -99,10 +123,14 @@ def load_warehouse(
     try:
         raw = _landed(files, landing)
         load_dimensions(spark, raw["customers"], raw["transactions"], base)
-        return load_facts(spark, raw["customers"], raw["transactions"], base)
+        return load_facts(spark, raw["customers"], raw["transactions"], base, key_buckets)
     finally:
         remove_dataset(spark, landing)
-        remove_dataset(spark, f"{base}/_places")
+
+
+def _landing(base: str) -> str:
+    """A folder for the files of one load."""
+    return f"{base}/_landing/{uuid.uuid4().hex}"
 
 
 def _landed(files: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
@@ -125,50 +153,128 @@ def _landed(files: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]
 
 def load_dimensions(
     spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame, base: str
-) -> int:
-    published = published_batch(spark, base, "dimensions")
-    batch = published + 1
-    old = {n: read_batches(spark, base, n, s, published) for n, s in DIMENSION_TABLES.items()}
+) -> Snapshot:
+    places = _landing(base)
+
+    def stage(old: Snapshot) -> Staged:
+        tables = {n: old.read(spark, n, s) for n, s in DIMENSION_TABLES.items()}
+        added: dict[str, list[str]] = {}
+
+        def settle(df: DataFrame, table: str) -> DataFrame:
+            return _staged(df, base, table, added)
 
-    def stage(df: DataFrame, table: str) -> DataFrame:
-        stage_rows(df, base, table, batch)
-        return read_batch(spark, base, table, df.schema, batch)
+        existing = Locations(tables["countries"], tables["states"], tables["postcodes"])
+        new_locations(spark.read.parquet(places), existing, settle)
+        found = warehouse.found_members(raw_customers, raw_transactions)
+        fresh = new_members(found, tables["members"])
+        unknown = missing_unknown_members(tables["members"], warehouse.PRODUCT_DIMENSIONS)
+        settle(fresh.unionByName(unknown), "members")
+        return Staged(added, load="dimensions")
 
-    existing = Locations(old["countries"], old["states"], old["postcodes"])
-    new_locations(stage(distinct_places(raw_customers), "_places"), existing, stage)
+    try:
+        replace_dataset(distinct_places(raw_customers), places)
+        return publish_on_latest(spark, base, stage, _adds_other_keys(spark))[0]
+    finally:
+        remove_dataset(spark, places)
+
+
+def _staged(df: DataFrame, base: str, table: str, added: dict[str, list[str]]) -> DataFrame:
+    """`df` written to a folder that `added` then names, and read back; without rows, nothing stays."""
+    spark = df.sparkSession
+    folder = stage_rows(df, base, table)
+    rows = read_folders(spark, base, [folder], df.schema)
+    if rows.isEmpty():
+        remove_dataset(spark, f"{base}/{folder}")
+        return empty(spark, df.schema)
+    added[table] = [*added.get(table, []), folder]
+    return rows
+
+
+def _adds_other_keys(spark: SparkSession) -> Callable[[Staged, Snapshot, Snapshot], bool]:
+    """Are the keys of staged rows none of those that other loads have added meanwhile?"""
 
-    found = warehouse.found_members(raw_customers, raw_transactions)
-    fresh = new_members(found, old["members"])
-    unknown = missing_unknown_members(old["members"], warehouse.PRODUCT_DIMENSIONS)
-    stage(fresh.unionByName(unknown), "members")
-    publish_batch(spark, base, "dimensions", batch)
-    return batch
+    def holds(staged: Staged, older: Snapshot, newer: Snapshot) -> bool:
+        for table, folders in staged.added.items():
+            if table in INDEXES.values():
+                continue
+            schema = (DIMENSION_TABLES | FACT_TABLES)[table]
+            theirs = newer.since(older, table)
+            if theirs is None:
+                return False
+            if not theirs:
+                continue
+            mine, others = (read_folders(spark, older.base, f, schema) for f in (folders, theirs))
+            if not all(mine.join(others.select(*key), list(key), "left_semi").isEmpty() for key in KEYS[table]):
+                return False
+        return True
+
+    return holds
+
+
+def fact_keys(spark: SparkSession, snapshot: Snapshot, table: str) -> list[DataFrame]:
+    """The keys of a fact table as they lie, a table for each load or compaction."""
+    (key,) = KEYS[table]
+    columns = ", ".join(f"{c} {FACT_TABLES[table][c].dataType.simpleString()}" for c in key)
+    return key_index.read_keys(spark, snapshot.base, snapshot.folders.get(INDEXES[table], ()), columns, key)
 
 
 def load_facts(
-    spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame, base: str
+    spark: SparkSession,
+    raw_customers: DataFrame,
+    raw_transactions: DataFrame,
+    base: str,
+    key_buckets: int = key_index.BUCKETS,
 ) -> LoadResult:
-    tables = open_warehouse(spark, base)
-    batch = published_batch(spark, base, "facts") + 1
-    members = tables["members"]
-
-    orphans = Observation("transactions")
-    known = raw_customers.select("customer_id")
-    new = {
-        "products": warehouse.products(raw_transactions, members, tables["products"], FILE_POSITION),
-        "customers": warehouse.customers(raw_customers, members, tables["customers"]),
-        "transactions": warehouse.transactions(
-            raw_transactions, known, members, tables["transactions"], orphans
-        ),
-    }
-    for table, df in new.items():
-        stage_rows(df, base, table, batch)
-    staged = {t: read_batch(spark, base, t, s, batch) for t, s in FACT_TABLES.items()}
-    broken = [f"{rule}: {n}" for rule, n in fact_violations(staged, tables).items() if n]
-    if broken:
-        raise LoadRejected("; ".join(broken))
-    publish_batch(spark, base, "facts", batch)
-    return LoadResult(batch, orphans.get["dropped"])
+    """New rows are told by the tables' key indexes: whatever the length of the history, it is not shuffled."""
+    known, dropped = raw_customers.select("customer_id"), 0
+
+    def stage(old: Snapshot) -> Staged:
+        nonlocal dropped
+        tables = _warehouse_tables(spark, old)
+        members = tables["members"]
+        there = {table: fact_keys(spark, old, table) for table in FACT_TABLES}
+        orphans = Observation("transactions")
+        new = {
+            "products": warehouse.products(raw_transactions, members, there["products"], FILE_POSITION),
+            "customers": warehouse.customers(raw_customers, members, there["customers"]),
+            "transactions": warehouse.transactions(raw_transactions, known, members, there["transactions"], orphans),
+        }
+        added: dict[str, list[str]] = {}
+        try:
+            staged = {table: _staged(df, base, table, added) for table, df in new.items()}
+            broken = [f"{rule}: {n}" for rule, n in fact_violations(staged, tables).items() if n]
+            if broken:
+                raise LoadRejected("; ".join(broken))
+            for table in [t for t in FACT_TABLES if t in added]:
+                name = INDEXES[table]
+                added[name] = [key_index.stage_keys(staged[table], base, name, KEYS[table][0], key_buckets)]
+        except BaseException:
+            discard(spark, base, Staged(added))
+            raise
+        dropped = orphans.get["dropped"]
+        return Staged(added, load="facts")
+
+    snapshot, _ = publish_on_latest(spark, base, stage, _adds_other_keys(spark))
+    return LoadResult(snapshot.loads["facts"], dropped)
+
+
+def compact_warehouse(spark: SparkSession, base: str, key_buckets: int = key_index.BUCKETS) -> Snapshot:
+    """Rewrite the folders of many loads as one per table, key indexes included; the rows stay the same."""
+
+    def rewritten(table: str) -> Callable[[Snapshot], str]:
+        (key,) = KEYS[table]
+
+        def run(old: Snapshot) -> str:
+            parts = fact_keys(spark, old, table)
+            rows = parts[0]
+            for more in parts[1:]:
+                rows = rows.unionAll(more)
+            return key_index.stage_keys(rows, base, INDEXES[table], key, key_buckets)
+
+        return run
+
+    indexes = {name: rewritten(table) for table, name in INDEXES.items()}
+    return compact(spark, base, {**DIMENSION_TABLES, **FACT_TABLES}, indexes)
 
 
 def fact_violations(staged: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -229,12 +335,23 @@ SHOP_FILES = {
 }
 
 
+def open_shop(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The four shop tables as of one refresh."""
+    return _shop_tables(spark, latest_snapshot(spark, base))
+
+
+def _shop_tables(spark: SparkSession, snapshot: Snapshot) -> dict[str, DataFrame]:
+    return {name: snapshot.read(spark, name, schema) for name, (schema, _) in SHOP_FILES.items()}
+
+
 def refresh_shop(
     spark: SparkSession, source: str, base: str, multi_line: bool = False
 ) -> dict[str, DataFrame]:
     """Replace the four shop tables by the files in `source`; nothing of their old content stays.
 
-    No table changes before all four files are read and found free of malformed records.
+    All four change at once, after all files are read and found free of malformed records; a refresh that
+    fails anywhere changes nothing. Readers keep the tables they have opened: the folders of an earlier
+    refresh stay until `snapshots.remove_old_snapshots`. Of several refreshes at once the last one stays.
     """
     files = {
         name: read_csv(
@@ -243,14 +360,23 @@ def refresh_shop(
         )
         for name, (schema, delimiter) in SHOP_FILES.items()
     }
-    landing, tables = f"{base}/_landing", {}
+    added: dict[str, list[str]] = {}
     try:
-        for name, df in _landed(files, landing).items():
-            replace_dataset(df, f"{base}/{name}")
-            tables[name] = spark.read.schema(SHOP_FILES[name][0]).parquet(f"{base}/{name}")
-    finally:
-        remove_dataset(spark, landing)
-    return tables
+        broken = []
+        for name, df in files.items():
+            seen = Observation(name)
+            counted = df.observe(seen, F.count_if(MALFORMED).alias("n")).drop(MALFORMED)
+            added[name] = [stage_rows(counted, base, name)]
+            if seen.get["n"]:
+                broken.append(f"{name}: {seen.get['n']} malformed records")
+        if broken:
+            raise InputRejected("; ".join(broken))
+        staged = Staged(added, frozenset(added), load="refresh")
+        snapshot, _ = publish_on_latest(spark, base, lambda _: staged, lambda *_: True)
+    except BaseException:
+        discard(spark, base, Staged(added))
+        raise
+    return _shop_tables(spark, snapshot)
 
 
 def write_reports(tables: Mapping[str, DataFrame], target: str) -> dict[str, str]:

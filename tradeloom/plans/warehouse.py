@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -60,7 +60,10 @@ def _with_ids(df: DataFrame, members: DataFrame, links: Mapping[str, tuple[str,
 
 
 def products(
-    transactions: DataFrame, members: DataFrame, existing: DataFrame, sequence: str = "transaction_id"
+    transactions: DataFrame,
+    members: DataFrame,
+    existing: DataFrame | Sequence[DataFrame],
+    sequence: str = "transaction_id",
 ) -> DataFrame:
     """New products: the first row per product in file order, told by `sequence`.
 
@@ -80,7 +83,7 @@ def products(
     )
 
 
-def customers(raw: DataFrame, members: DataFrame, existing: DataFrame) -> DataFrame:
+def customers(raw: DataFrame, members: DataFrame, existing: DataFrame | Sequence[DataFrame]) -> DataFrame:
     """New customers with codes normalised; an unmatched industry or segment leaves the id NULL."""
     cleaned = new_rows(raw, existing, ["customer_id"], raw).select(
         "customer_id",
@@ -112,7 +115,7 @@ def transactions(
     raw: DataFrame,
     known_customers: DataFrame,
     members: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | Sequence[DataFrame],
     seen: Observation | None = None,
 ) -> DataFrame:
     """New transactions of known customers; a date that cannot be read fails the load."""

@@ -135,7 +135,12 @@ def movies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def movie_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return sample(spark, folder, "lineitem").selectExpr("CAST(l_partkey AS STRING) AS movie_id")
+    return sample(spark, folder, "lineitem").selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS _id",
+        "CAST(l_partkey AS STRING) AS movie_id",
+        "concat('Customer ', l_orderkey % 100) AS name",
+        "l_shipdate AS date",
+    )
 
 
 def text_comments(spark: SparkSession, folder: str) -> DataFrame:
