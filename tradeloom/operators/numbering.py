@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Members are spread over this many buckets by a digest of their name (three hexadecimal digits).
+# Members are spread over 4096 buckets by a digest of their name (three hexadecimal digits).
 BUCKET_DIGITS = 3
+_DIGITS = "0123456789abcdef"
 
 
 def number_members(
@@ -24,18 +25,24 @@ def number_members(
     columns is numbered on its own. Ids depend on the member names only, so a repeated or recomputed
     run gives the same ids, and members that have an id keep it.
 
-    Numbering is in two levels, so that no task sees all members: each bucket counts its own, and a
-    running total over at most 4096 buckets says where each starts.
+    Numbering is in levels, so that no task sees all members: each bucket counts its own, a running total
+    says where it starts among the buckets with the same first digit, and 16 sums say where these start.
     """
     keys = list(within)
     digest = F.md5(F.concat_ws("|", *names))
     spread = fresh.withColumn("__bucket", F.left(digest, F.lit(BUCKET_DIGITS)))
 
     sizes = spread.groupBy(*keys, "__bucket").agg(F.count("*").alias("__size"))
-    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *keys, "__bucket", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start")
-    )
+    together = keys
+    if not keys:
+        sizes = sizes.withColumn("__digit", F.left("__bucket", F.lit(1)))
+        together = ["__digit"]
+    earlier = Window.partitionBy(*together).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("__size").over(earlier), F.lit(0))
+    if not keys:
+        before = [F.sum(F.when(F.col("__digit") < digit, F.col("__size")).otherwise(0)) for digit in _DIGITS]
+        start += F.get(sizes.agg(F.array(*before)).scalar(), F.conv("__digit", 16, 10).cast("int"))
+    starts = sizes.select(*keys, "__bucket", start.alias("__start"))
 
     in_bucket = Window.partitionBy(*keys, "__bucket").orderBy(*names)
     numbered = spread.withColumn("__position", F.row_number().over(in_bucket)).join(
