@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries
 from tradeloom import schemas
-from tradeloom.operators import checks, dimensions, matching, ranking
+from tradeloom.operators import checks, dimensions, lookup, matching, ranking
 from tradeloom.plans import bookings, documents, reports, shop, shop_windows, warehouse
 from tradeloom.sources import samples
 from tradeloom.sources.calendar import calendar_spanning
@@ -113,6 +113,14 @@ def shop_daily_online_orders(spark, folder):
     return shop.daily_online_orders(orders, date(1997, 1, 1), date(1998, 12, 31))
 
 
+@_query
+def shop_distinct_by_period(spark, folder):
+    """Distinct approved online orders and their customers per day, week and month, from one table of days."""
+    orders = samples.shop_orders(spark, folder)
+    days = shop.daily_online_ids(orders, date(1997, 1, 1), date(1998, 12, 31))
+    return shop.distinct_by_period(days, ("day", "week", "month"))
+
+
 @_query
 def shop_senior_titles(spark, folder):
     return shop.senior_titles(samples.shop_customer(spark, folder), AGE_ON, older_than=35)
@@ -254,6 +262,23 @@ def doc_comment_counts(spark, folder):
     return documents.comment_counts(samples.movie_comments(spark, folder), samples.movies(spark, folder))
 
 
+@_query
+def doc_movies_with_comments(spark, folder):
+    """Every movie with its comments nested, written as text so that both engines can be compared."""
+    nested = documents.movies_with_comments(samples.movie_comments(spark, folder), samples.movies(spark, folder))
+    line = F.transform("comments", lambda c: F.concat_ws(" ", c["date"].cast("string"), c["comment_id"], c["name"]))
+    return nested.select(
+        "_id", "title", "part", F.size("comments").alias("n_comments"), F.concat_ws("|", line).alias("comments")
+    )
+
+
+@_query
+def doc_unwound_comments(spark, folder):
+    """The same taken apart again: a row per comment, one of NULL fields for movies without any."""
+    nested = documents.movies_with_comments(samples.movie_comments(spark, folder), samples.movies(spark, folder), 50)
+    return lookup.unwind(nested.drop("part"), "comments", keep_empty=True)
+
+
 @_query
 def doc_top20_commented(spark, folder):
     return documents.most_commented(samples.movie_comments(spark, folder), samples.movies(spark, folder), 20)
@@ -307,6 +332,11 @@ def booking_daily_occupancy(spark, folder):
     return bookings.daily_occupancy(samples.bookings(spark, folder), _calendar(spark, folder), capacity=400)
 
 
+@_query
+def booking_stays_in_house(spark, folder):
+    return bookings.stays_in_house(samples.bookings(spark, folder), _calendar(spark, folder))
+
+
 # --- warehouse load -------------------------------------------------------------------------------
 
 

@@ -172,6 +172,12 @@ _QUERIES = {
         FROM orders_v
         WHERE online_order AND order_status = 'Approved' AND year(order_date) IN (1997, 1998)
         GROUP BY order_date""",
+    "shop_distinct_by_period": """
+        SELECT period, CAST(date_trunc(period, order_date) AS DATE) AS first_day, count(DISTINCT order_id) AS cnt_order,
+          count(DISTINCT customer_id) AS cnt_customers
+        FROM orders_v, (VALUES ('day'), ('week'), ('month')) AS p(period)
+        WHERE online_order AND order_status = 'Approved' AND year(order_date) IN (1997, 1998)
+        GROUP BY 1, 2""",
     "shop_senior_titles": """
         SELECT job_title FROM customer_v
         WHERE ((job_industry_category = 'IT' AND starts_with(job_title, 'Senior'))
@@ -275,6 +281,15 @@ _QUERIES = {
     "doc_comment_counts": """
         SELECT count(*) AS "count", any_value(title) AS title, any_value("year") AS "year"
         FROM movie_v JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey""",
+    "doc_movies_with_comments": """
+        SELECT _id, any_value(title) AS title, 0 AS part, CAST(count(l_partkey) AS INTEGER) AS n_comments,
+          coalesce(string_agg(strftime(l_shipdate, '%Y-%m-%d') || ' ' || l_orderkey || '-' || l_linenumber || ' Customer '
+            || l_orderkey % 100, '|' ORDER BY l_shipdate, l_orderkey || '-' || l_linenumber), '') AS comments
+        FROM movie_v LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY _id""",
+    "doc_unwound_comments": """
+        SELECT _id, title, CAST(l_shipdate AS DATE) AS date, l_orderkey || '-' || l_linenumber AS comment_id,
+          'Customer ' || l_orderkey % 100 AS name
+        FROM movie_v LEFT JOIN lineitem ON l_partkey = p_partkey""",
     "doc_top20_commented": """
         SELECT CAST(row_number() OVER (ORDER BY n DESC, _id) AS INT) AS position,
           title || ' (' || coalesce(CAST("year" AS VARCHAR), 'N/A') || ')' AS label, n AS "count"
@@ -333,6 +348,16 @@ _QUERIES = {
         LEFT JOIN (SELECT * FROM stay_v WHERE status <> 'Canceled')
           ON arrival_date <= calendar_dt AND arrival_date + total_nights > calendar_dt
         GROUP BY calendar_dt""",
+    "booking_stays_in_house": """
+        SELECT calendar_dt, count(arrival_date) AS stays, CAST(max(total_nights) AS INTEGER) AS longest_stay,
+          CAST((200 * CAST(sum(total_nights) AS BIGINT) + count(arrival_date)) // (2 * nullif(count(arrival_date), 0)) AS DOUBLE) / 100 AS avg_nights,
+          count(DISTINCT room_type) AS room_types, count(*) FILTER (repeated_guest = 1) AS repeat_guests
+        FROM (SELECT CAST(unnest(generate_series(date_trunc('year', min(o_orderdate)),
+                date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
+                INTERVAL 1 DAY)) AS DATE) AS calendar_dt FROM orders)
+        LEFT JOIN (SELECT * FROM stay_v WHERE status <> 'Canceled' AND total_nights > 0)
+          ON arrival_date <= calendar_dt AND arrival_date + total_nights > calendar_dt
+        GROUP BY calendar_dt""",
     # --- warehouse load ---
     "dedup_keep_first": """
         SELECT product_id, transaction_id, brand, list_price, standard_cost FROM raw_transaction_v

@@ -1,0 +1,62 @@
+import random
+
+import pytest
+
+from conftest import bag
+from tradeloom.operators.lookup import lookup, unwind
+
+
+def tables(spark, draw, hot=0):
+    docs = [(i, f"t{i}") for i in range(30)] + [(None, "none"), (3, "again")]
+    others = [(draw.choice([*range(0, 40, 2), None]), k, draw.choice("ab")) for k in range(150)]
+    others += [(4, 1000 + k, "hot") for k in range(hot)] + [(6, 7, "same")] * 5
+    return (
+        spark.createDataFrame(docs, "k int, title string"),
+        spark.createDataFrame(others, "k int, n int, v string"),
+        docs,
+        others,
+    )
+
+
+@pytest.mark.parametrize("size, hot", [(1, 20), (7, 0), (7, 500), (1000, 500)])
+def test_lookup_nests_all_matches_in_parts(spark, size, hot):
+    docs, others, doc_rows, other_rows = tables(spark, random.Random(size), hot)
+    nested = lookup(docs, others, "k", "found", size)
+    assert nested.columns == ["k", "title", "part", "found"]
+    rows = nested.collect()
+    assert all(len(r["found"]) <= size and r["found"] == sorted(r["found"]) for r in rows)
+    assert len({(r["k"], r["title"], r["part"]) for r in rows}) == len(rows)
+    inner = sorted(((k, t, n, v) for k, t in doc_rows for j, n, v in other_rows if k is not None and j == k), key=repr)
+    assert bag(unwind(nested.drop("part"), "found")) == inner
+    alone = [(k, t, None, None) for k, t in doc_rows if k is None or all(k != j for j, _, _ in other_rows)]
+    assert bag(unwind(nested.drop("part"), "found", keep_empty=True)) == sorted([*inner, *alone], key=repr)
+    assert {(r["k"], r["title"]) for r in rows if not r["found"]} == {(k, t) for k, t, _, _ in alone}
+    assert all(r["part"] == 0 for r in rows if not r["found"])
+    if hot > size:
+        assert sum(r["k"] == 4 for r in rows) >= hot // size
+
+
+def test_empty_sides_and_taken_names(spark):
+    docs, others, doc_rows, _ = tables(spark, random.Random(1))
+    assert lookup(docs.limit(0), others, "k", "found").collect() == []
+    alone = lookup(docs, others.limit(0), "k", "found").collect()
+    assert len(alone) == len(doc_rows) and all(r["found"] == [] for r in alone)
+    with pytest.raises(ValueError, match="title"):
+        lookup(docs, others, "k", "title")
+
+
+def test_unwind_of_plain_arrays_of_structs(spark):
+    docs = spark.createDataFrame([(1, [(1, "a"), (2, None)]), (2, []), (3, None)], "i int, x array<struct<p int, q string>>")
+    assert bag(unwind(docs, "x")) == [(1, 1, "a"), (1, 2, None)]
+    assert bag(unwind(docs, "x", keep_empty=True)) == sorted([(1, 1, "a"), (1, 2, None), (2, None, None), (3, None, None)], key=repr)
+
+
+def test_hot_documents_are_grouped_in_shares(spark):
+    """No task groups more than a few parts' worth of one key."""
+    docs = spark.range(3).toDF("k")
+    others = spark.range(20_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS n")
+    nested = lookup(docs, others, "k", "found", 100)
+    plan = nested._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [k" in plan and "__share" in plan.split("collect_list")[0].splitlines()[-1]
+    sizes = [len(r["found"]) for r in nested.collect() if r["k"] == 0]
+    assert sum(sizes) == 6667 and max(sizes) == 100 and len(sizes) < 200

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.constants import CANCELED
 from tradeloom.functions import date_from_parts, percent_of, rounded_mean
+from tradeloom.operators.intervals import interval_join
 from tradeloom.operators.ranking import top_k
 
 
@@ -138,3 +139,36 @@ def daily_occupancy(bookings: DataFrame, calendar: DataFrame, capacity: int = 40
         )
         .orderBy(F.col("calendar_dt").desc())
     )
+
+
+def stays_in_house(bookings: DataFrame, calendar: DataFrame, width: int = 8) -> DataFrame:
+    """What kind of stays are in the house on every day of `calendar` (column `calendar_dt`): number of
+    stays, longest and mean length, room types and guests who have been before; zeros and NULLs on days
+    without any.
+
+    Unlike the number of guests these cannot be told from arrivals and departures alone: every day meets
+    the stays that cover it, in bins of `width` days, and what is shuffled for the days are sums.
+    """
+    stays = (
+        _kept(enriched(bookings))
+        .filter(F.col("arrival_date").isNotNull() & (F.col("total_nights") > 0))
+        .select(
+            "arrival_date", F.date_add("arrival_date", F.col("total_nights")).alias("departure_date"),
+            "total_nights", "room_type", "repeated_guest",
+        )
+    )
+    days = calendar.select("calendar_dt")
+    met = interval_join(
+        days, stays, ("calendar_dt", None), ("arrival_date", "departure_date"), width, levels=2, left_key=["calendar_dt"]
+    )
+    return (
+        met.groupBy("calendar_dt")
+        .agg(
+            F.count("arrival_date").alias("stays"),
+            F.max("total_nights").alias("longest_stay"),
+            rounded_mean(met, "total_nights", 2).alias("avg_nights"),
+            F.count_distinct("room_type").alias("room_types"),
+            F.count_if(F.col("repeated_guest") == 1).alias("repeat_guests"),
+        )
+        .orderBy("calendar_dt")
+    )

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tradeloom.constants import NO_TITLE, NO_YEAR
 from tradeloom.functions import title_with_year
+from tradeloom.functions.criteria import matches
+from tradeloom.operators.lookup import lookup
 from tradeloom.operators.ranking import top_k
 
 
 def find(docs: DataFrame, criteria: Mapping[str, object]) -> DataFrame:
-    """Whole documents whose fields, given by dotted path, all equal the wanted values."""
-    for path, value in criteria.items():
-        docs = docs.filter(F.col(path) == value)
-    return docs
+    """Whole documents that match a filter document (see `functions.criteria`)."""
+    return docs.filter(matches(docs.schema, criteria))
 
 
 def find_one(docs: DataFrame, criteria: Mapping[str, object], order_by: str = "_id") -> DataFrame:
@@ -24,17 +24,13 @@ def find_one(docs: DataFrame, criteria: Mapping[str, object], order_by: str = "_
     return top_k(find(docs, criteria), [F.col(order_by).asc()], 1)
 
 
-def first_element(array: str) -> Column:
-    """First array element; NULL for an empty or missing array."""
-    return F.get(F.col(array), F.lit(0))
-
-
 def count_first_genre(movies: DataFrame, genre: str) -> DataFrame:
-    return movies.filter(first_element("genres") == genre).agg(F.count("*").alias("n_movies"))
+    return find(movies, {"genres.0": genre}).agg(F.count("*").alias("n_movies"))
 
 
 def _released(movies: DataFrame, genres: Collection[str], first_year: int, last_year: int) -> DataFrame:
-    return movies.filter(first_element("genres").isin(*genres) & F.col("year").between(first_year, last_year))
+    first = [{"genres.0": genre} for genre in genres]
+    return find(movies, {"$or": first, "year": {"$gte": first_year, "$lte": last_year}})
 
 
 def released_with_first_genre(
@@ -66,6 +62,13 @@ def released_title_and_year(
     return _released(movies, genres, first_year, last_year).select("title", "year")
 
 
+def movies_with_comments(comments: DataFrame, movies: DataFrame, part_size: int = 1000) -> DataFrame:
+    """Every movie with its comments nested, oldest first; movies without any have an empty list. Of a movie
+    with more than `part_size` comments there are several rows, each with a part of them."""
+    nested = comments.select(F.col("movie_id").alias("_id"), "date", F.col("_id").alias("comment_id"), "name")
+    return lookup(movies.select("_id", "title"), nested, "_id", "comments", part_size)
+
+
 def _commented(comments: DataFrame, movies: DataFrame) -> DataFrame:
     """Comments are counted per movie first, so each movie joins as one row; unknown movies drop out."""
     counted = comments.groupBy(F.col("movie_id").alias("_id")).agg(F.count("*").alias("count"))

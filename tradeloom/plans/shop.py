@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.constants import MASS_CUSTOMER
 from tradeloom.functions import months_before, whole_years
+from tradeloom.operators.distinct_counts import counts_of_bitmaps, id_bitmaps
 from tradeloom.operators.matching import join_side_keys
 from tradeloom.operators.ranking import top_k
 from tradeloom.plans.revenue import CUSTOMER_NAMES, approved, order_amounts
@@ -49,6 +50,31 @@ def daily_online_orders(orders: DataFrame, first: date, last: date) -> DataFrame
     )
 
 
+_ONLINE_IDS = {"order_id": "cnt_order", "customer_id": "cnt_customers"}
+
+
+def daily_online_ids(orders: DataFrame, first: date, last: date) -> DataFrame:
+    """The sets behind `daily_online_orders`, to be stored: per day the approved online orders and their
+    customers as bitmaps. Days that are loaded later are appended."""
+    online = approved(orders).filter(_ordered_in(first, last) & F.col("online_order"))
+    return id_bitmaps(online, ["order_date"], list(_ONLINE_IDS))
+
+
+def distinct_by_period(days: DataFrame, periods: Sequence[str]) -> DataFrame:
+    """Distinct orders and customers per period ('day', 'week', 'month', 'quarter', 'year') that has any,
+    added up from the sets of days: (period, first_day, cnt_order, cnt_customers)."""
+    spans = F.explode(
+        F.array(*[
+            F.struct(F.lit(p).alias("period"), F.date_trunc(p, "order_date").cast("date").alias("first_day")) for p in periods
+        ])
+    )
+    spread = days.withColumn("__span", spans)
+    by = [F.col("__span.period"), F.col("__span.first_day")]
+    counted = counts_of_bitmaps(spread, by, list(_ONLINE_IDS))
+    named = [F.col(c).alias(name) for c, name in _ONLINE_IDS.items()]
+    return counted.select(F.col("__by0").alias("period"), F.col("__by1").alias("first_day"), *named)
+
+
 def senior_titles(customer: DataFrame, as_of: date, older_than: int = 35) -> DataFrame:
     """Titles of senior IT and lead finance staff above an age, one row per customer.
 
