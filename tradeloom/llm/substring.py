@@ -280,13 +280,15 @@ def without_repeated_windows(docs: DataFrame, width: int = 50) -> DataFrame:
     """
     docs = docs.drop("n_removed", "__anchors")
     names = [c for c in docs.columns if c not in ("doc_id", "text")]
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in docs.columns}
     columns = columns_for(docs, "text")
     marks = _marks(docs, width, columns)
-    inner = docs.select("doc_id", "text", F.struct(F.lit(0).alias("__0"), *names).alias("rest"))
+    inner = docs.select("doc_id", "text", F.struct(F.lit(0).alias("__0"), *(quoted[c] for c in names)).alias("rest"))
     none = F.lit(0).cast("bigint").alias("n_removed")
     clean = inner.join(marks, "doc_id", "left_anti").select("doc_id", "text", none, "rest")
     open_ = inner.join(marks, "doc_id")
     rest_type = to_arrow_type(inner.schema["rest"].dataType)
     schema = clean.schema
     changed = _cut(open_, width, columns, schema, _rewritten(rest_type))
-    return clean.unionAll(changed).select(*(f"rest.`{c}`" if c in names else c for c in docs.columns), "n_removed")
+    kept = (f"rest.{quoted[c]}" if c in names else c for c in docs.columns)
+    return clean.unionAll(changed).select(*kept, "n_removed")
