@@ -139,7 +139,7 @@ def movie_comments(spark: SparkSession, folder: str) -> DataFrame:
         "concat(l_orderkey, '-', l_linenumber) AS _id",
         "CAST(l_partkey AS STRING) AS movie_id",
         "concat('Customer ', l_orderkey % 100) AS name",
-        "l_shipdate AS date",
+        "CAST(l_shipdate AS DATE) AS date",
     )
 
 
