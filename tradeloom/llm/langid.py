@@ -242,4 +242,6 @@ def in_known_language(docs: DataFrame, model: tuple[list[str], crf.Model]) -> Da
     Rows are judged one by one where they are read, so that no text is shuffled; rows without doc_id and
     repeated rows are judged like others.
     """
-    return docs.mapInArrow(_known_only(*model), docs.schema)
+    # Spark takes names with dots apart on the way into Arrow batches.
+    plain = docs.toDF(*(c if c == "text" else f"column_{i}" for i, c in enumerate(docs.columns)))
+    return plain.mapInArrow(_known_only(*model), plain.schema).toDF(*docs.columns)
