@@ -45,6 +45,7 @@ class Load:
             write_csv(self.folder / "customer.csv", schemas.RAW_CUSTOMER, customers),
             write_csv(self.folder / "transaction.csv", schemas.RAW_TRANSACTION, transactions),
             self.base,
+            key_buckets=8,
         )
 
     def tables(self):

@@ -46,8 +46,8 @@ def loaded(spark, folder, tmp_path_factory):
     ]
     duck = duckdb.connect()
     views(duck, base, {"customer": ",", "trade": ","})
-    result = jobs.load_warehouse(spark, *paths, str(base / "warehouse"))
-    again = jobs.load_warehouse(spark, *paths, str(base / "warehouse"))
+    result = jobs.load_warehouse(spark, *paths, str(base / "warehouse"), key_buckets=8)
+    again = jobs.load_warehouse(spark, *paths, str(base / "warehouse"), key_buckets=8)
     tables = jobs.open_warehouse(spark, str(base / "warehouse"))
     return result, again, tables, duck
 

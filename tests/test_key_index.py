@@ -93,7 +93,7 @@ def test_loads_read_the_index_and_compaction_keeps_it(spark, tmp_path, shuffled)
         fresh = new_rows(spark.range(1000).toDF(*jobs.KEYS[table][0]), parts, jobs.KEYS[table][0])
         assert exchanges_over(plan(fresh), "key_index_") == 0
 
-    after = jobs.compact_warehouse(spark, load.base)
+    after = jobs.compact_warehouse(spark, load.base, key_buckets=8)
     assert all(len(names) == 1 for names in after.folders.values())
     assert load.content() == before
     remove_old_snapshots(spark, load.base, keep=1, older_than_hours=0)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tradeloom import schemas
 from tradeloom.operators.checks import duplicate_keys, missing_parents, null_counts, report_status
@@ -48,6 +50,7 @@ FACT_TABLES = {
     "customers": schemas.DIM_CUSTOMERS,
     "transactions": schemas.TRANSACTIONS,
 }
+_STORED_TRANSACTIONS = StructType([*schemas.TRANSACTIONS.fields, StructField("month", DateType())])
 #: What no two rows of a table share. Loads at the same time must not add equal ones.
 KEYS = {
     "countries": (("id",), ("country_name",)),
@@ -58,6 +61,8 @@ KEYS = {
     "customers": (("customer_id",),),
     "transactions": (("transaction_id",),),
 }
+#: Transactions lie in folders by the month of their date, so that reports over some months read no others.
+MONTH = "month"
 #: Beside each fact table lie its keys by bucket, which later loads are matched with.
 INDEXES = {table: f"{table}_keys" for table in FACT_TABLES}
 
@@ -93,6 +98,29 @@ def _warehouse_tables(spark: SparkSession, snapshot: Snapshot) -> dict[str, Data
     return tables | {name: warehouse.dimension(tables["members"], name) for name in warehouse.NAME_COLUMNS}
 
 
+def transactions_by_month(spark: SparkSession, base: str) -> DataFrame:
+    """The transactions with the first day of their month in column `month`. A filter on it, or a join with
+    a filtered table of months, reads the folders of these months alone."""
+    return latest_snapshot(spark, base).read(spark, "transactions", _STORED_TRANSACTIONS)
+
+
+def wide_report(spark: SparkSession, base: str, first: date, last: date) -> DataFrame:
+    """The re-denormalised transactions from `first` to `last`, reading no other months."""
+    snapshot = latest_snapshot(spark, base)
+    tables = _warehouse_tables(spark, snapshot)
+    stored = snapshot.read(spark, "transactions", _STORED_TRANSACTIONS)
+    months = F.col(MONTH).between(F.lit(first.replace(day=1)), F.lit(last.replace(day=1)))
+    rows = stored.filter(months & F.col("transaction_date").between(F.lit(first), F.lit(last))).drop(MONTH)
+    return warehouse.wide_transactions(rows, tables["products"], tables["members"])
+
+
+def _stage(df: DataFrame, base: str, table: str) -> str:
+    """Write rows of a warehouse table the way it is laid out."""
+    if table != "transactions":
+        return stage_rows(df, base, table)
+    return stage_rows(df.withColumn(MONTH, F.trunc("transaction_date", "month")), base, table, [MONTH])
+
+
 def load_warehouse(
     spark: SparkSession,
     customer_csv: str,
@@ -181,7 +209,7 @@ def load_dimensions(
 def _staged(df: DataFrame, base: str, table: str, added: dict[str, list[str]]) -> DataFrame:
     """`df` written to a folder that `added` then names, and read back; without rows, nothing stays."""
     spark = df.sparkSession
-    folder = stage_rows(df, base, table)
+    folder = _stage(df, base, table)
     rows = read_folders(spark, base, [folder], df.schema)
     if rows.isEmpty():
         remove_dataset(spark, f"{base}/{folder}")
@@ -273,8 +301,11 @@ def compact_warehouse(spark: SparkSession, base: str, key_buckets: int = key_ind
 
         return run
 
-    indexes = {name: rewritten(table) for table, name in INDEXES.items()}
-    return compact(spark, base, {**DIMENSION_TABLES, **FACT_TABLES}, indexes)
+    def by_month(old: Snapshot) -> str:
+        return _stage(old.read(spark, "transactions", schemas.TRANSACTIONS), base, "transactions")
+
+    own = {name: rewritten(table) for table, name in INDEXES.items()}
+    return compact(spark, base, DIMENSION_TABLES | FACT_TABLES, {**own, "transactions": by_month})
 
 
 def fact_violations(staged: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> dict[str, int]:
