@@ -23,9 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.memory import releasing
-from tradeloom.llm.scratch import save
 from tradeloom.llm.words import Slice, slices, window_hashes
-from tradeloom.operators.matching import join_side_keys
 
 # Units of measure that count as such behind a number.
 UNITS = (
@@ -409,14 +407,3 @@ def contaminated(
         F.max(share).alias("coverage"),
         F.min_by("differs", F.struct(-share, "differs")).alias("reparameterised"),
     )
-
-
-def without_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is in no row of `found`; rows without doc_id stay.
-
-    The ids are stored first: Spark knows their size then, and shuffles the texts only if they are too
-    many for its broadcast threshold.
-    """
-    bad = found.select("doc_id").groupBy(*join_side_keys("doc_id")).agg(F.lit(1).alias("__n")).select("doc_id")
-    bad, _ = save(bad, "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)

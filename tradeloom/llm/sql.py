@@ -111,3 +111,37 @@ c AS (SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links,
         least(vec_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = vec_id), vec_id)) AS component_id FROM v)
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM c
 """
+
+
+def _nearest(book: str) -> str:
+    """Per part its nearest entry, distance and index in one number."""
+    terms = " + ".join(f"(x.{k} - y.{k}) * (x.{k} - y.{k})" for k in "abcd")
+    return f"SELECT r, x.p, min(({terms}) * 64 + y.e) AS best FROM parts x JOIN {book} y ON x.p = y.p GROUP BY r, x.p"
+
+
+def _round(n: int) -> str:
+    means = ", ".join(f"CAST(coalesce(floor(m.{k} / m.n), b.{k}) AS BIGINT) AS {k}" for k in "abcd")
+    sums = ", ".join(f"sum({k}) AS {k}" for k in "abcd")
+    return f"""
+near{n} AS MATERIALIZED ({_nearest(f"book{n}")}),
+mean{n} AS (SELECT p, best % 64 AS e, count(*) AS n, {sums} FROM near{n} JOIN parts USING (r, p) GROUP BY 1, 2),
+book{n + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, {means} FROM book{n} b LEFT JOIN mean{n} m ON b.p = m.p AND b.e = m.e),"""
+
+
+STATEMENTS["op11_vector_codes"] = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (
+  SELECT r, p, v[4 * p + 1] AS a, v[4 * p + 2] AS b, v[4 * p + 3] AS c, v[4 * p + 4] AS d FROM kept, range(16) AS _(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, a, b, c, d FROM parts WHERE r <= 64),{_round(0)}{_round(1)}
+near2 AS ({_nearest("book2")}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, CAST(sum(best // 64) AS BIGINT) AS error
+  FROM near2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(a || ',' || b || ',' || c || ',' || d, ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
