@@ -92,6 +92,17 @@ def test_numbers_do_not_depend_on_partitioning(spark):
     assert bag(once) == bag(again)
 
 
+def test_join_few_is_a_left_join(spark):
+    rows = [(i, None if i % 7 == 0 else f"s{i % 3}") for i in range(400)] + [(5, "s2"), (None, "s0"), (None, None)]
+    df = table(spark, "id bigint, status string", *rows)
+    lookup = table(spark, "status string, status_id bigint", ("s0", 1), ("s1", 2), ("s9", 3))
+    got = matching.join_few(df, lookup, "status", "id", shares=4)
+    assert bag(got.select("id", "status", "status_id")) == bag(
+        df.join(lookup, "status", "left").select("id", "status", "status_id")
+    )
+    assert bag(matching.join_few(df, lookup.limit(0), "status", "id").select("status_id")) == [(None,)] * len(rows)
+
+
 def test_members_are_numbered_per_dimension_and_only_once(spark):
     source = table(
         spark, "brand string, line string", ("a", "x"), ("b", "x"), ("a", None), (None, "n/a"), ("N/A", "y")

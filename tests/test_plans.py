@@ -164,3 +164,21 @@ def test_sums_need_no_splitting(skewed):
     df = shop_windows.customer_totals(skewed["customer"], skewed["orders"], skewed["items"])
     assert df.filter("customer_id = 0").first()["revenue"] > 0
     assert split_joins(df) == 0
+
+
+def final_plan(df):
+    """The plan as it was executed; what is read from another part of the plan is named there as reused."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_lookups_of_all_dimensions_share_one_pass(spark, folder):
+    """Ten lookups of members: the order lines are read once for these, once for products, once for facts."""
+    text = final_plan(contract.queries()["report_transactions_wide"](spark, folder))
+    assert text.count("FileScan parquet [l_orderkey") <= 3
+
+
+def test_no_shuffle_by_status_alone(spark, folder):
+    """All transactions of a status would be one task's."""
+    text = plan(contract.queries()["report_transactions_wide"](spark, folder))
+    assert not re.search(r"hashpartitioning\(order_status(_id)?#\d+L?, \d+\)", text)

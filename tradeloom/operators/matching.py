@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+# A key of a lookup with few keys is dealt into this many shares.
+LOOKUP_SHARES = 256
+
 
 def join_side_keys(*keys: str) -> list[Column]:
     """Grouping columns for a table that is aggregated by `keys` and then joined on them to a table in
@@ -39,6 +42,19 @@ def resolve_id(
     return found.withColumn(id_column, F.coalesce(id_column, F.lit(default).cast("bigint")))
 
 
+def join_few(df: DataFrame, lookup: DataFrame, key: str, spread_by: str, shares: int = LOOKUP_SHARES) -> DataFrame:
+    """Left join of a large table with a lookup of few keys, one row per key.
+
+    Shuffled by the key alone, all rows would go to as many tasks as there are keys, and adaptive execution
+    does not broadcast a lookup that leaves most partitions empty. The rows of a key are dealt into `shares`
+    by a hash of `spread_by`, and the lookup is repeated for each share.
+    """
+    share = "__share"
+    dealt = lookup.withColumn(share, F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    by_share = df.withColumn(share, F.pmod(F.xxhash64(spread_by), F.lit(shares)).cast("int"))
+    return by_share.join(dealt, [key, share], "left").drop(share)
+
+
 def new_rows(
     incoming: DataFrame,
     existing: DataFrame | Sequence[DataFrame],

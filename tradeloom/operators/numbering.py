@@ -27,13 +27,18 @@ def number_members(
 
     Numbering is in levels, so that no task sees all members: each bucket counts its own, a running total
     says where it starts among the buckets with the same first digit, and 16 sums say where these start.
+
+    The windows are cut by one column made of `within`. A plan that looks members up by one value of these
+    columns after the other then shares the pass that found them: a filter on the columns themselves would
+    move below the windows, down to the rows the members come from, and every lookup would read these anew.
     """
     keys = list(within)
     digest = F.md5(F.concat_ws("|", *names))
     spread = fresh.withColumn("__bucket", F.left(digest, F.lit(BUCKET_DIGITS)))
+    group = [F.struct(*keys)] if keys else []
 
     sizes = spread.groupBy(*keys, "__bucket").agg(F.count("*").alias("__size"))
-    together = keys
+    together = group
     if not keys:
         sizes = sizes.withColumn("__digit", F.left("__bucket", F.lit(1)))
         together = ["__digit"]
@@ -44,7 +49,7 @@ def number_members(
         start += F.get(sizes.agg(F.array(*before)).scalar(), F.conv("__digit", 16, 10).cast("int"))
     starts = sizes.select(*keys, "__bucket", start.alias("__start"))
 
-    in_bucket = Window.partitionBy(*keys, "__bucket").orderBy(*names)
+    in_bucket = Window.partitionBy(*group, "__bucket").orderBy(*names)
     numbered = spread.withColumn("__position", F.row_number().over(in_bucket)).join(
         starts, [*keys, "__bucket"]
     )

@@ -11,7 +11,7 @@ from tradeloom.constants import GENDER_CODES, GENDER_DEFAULT, UNKNOWN_ID, YES_NO
 from tradeloom.functions import decimal_from_text, map_values, strict_us_date, tolerant_date
 from tradeloom.operators.checks import with_defaults
 from tradeloom.operators.dimensions import distinct_members
-from tradeloom.operators.matching import new_rows, reject_orphans, resolve_id
+from tradeloom.operators.matching import join_few, new_rows, reject_orphans, resolve_id
 from tradeloom.operators.ranking import keep_first
 
 # Dimension tables and the source columns they come from.
@@ -128,7 +128,10 @@ def transactions(
         F.col("online_order").try_cast("boolean").alias("online_order"),
         "order_status",
     )
-    return _with_ids(cleaned, members, {"order_status": ("order_statuses", "order_status_id")}, None).select(
+    statuses = dimension(members, "order_statuses").select(
+        F.col("id").alias("order_status_id"), F.col("status_name").alias("order_status")
+    )
+    return join_few(cleaned, statuses, "order_status", "transaction_id").select(
         "transaction_id", "product_id", "customer_id", "transaction_date", "online_order", "order_status_id"
     )
 
@@ -150,7 +153,7 @@ def wide_transactions(fact: DataFrame, product: DataFrame, members: DataFrame) -
         F.col("id").alias("order_status_id"), F.col("status_name").alias("order_status")
     )
     return (
-        fact.join(statuses, "order_status_id", "left")
+        join_few(fact, statuses, "order_status_id", "transaction_id")
         .join(named, "product_id", "left")
         .select(
             "transaction_id", "product_id", "customer_id", "transaction_date", "online_order", "order_status",

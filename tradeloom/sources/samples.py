@@ -187,14 +187,29 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15), 16, 10) AS BIGINT) "
         "AS transaction_id",
     )
-    product = shop_product(spark, folder).drop("list_price")
-    joined = lines.join(shop_orders(spark, folder), "order_id").join(product, "product_id")
+    # Texts of orders and products are made before the joins, once for all their lines.
+    orders = shop_orders(spark, folder).selectExpr(
+        "order_id",
+        "customer_id",
+        "date_format(order_date, 'M/d/yyyy') AS transaction_date",
+        "initcap(CAST(online_order AS STRING)) AS online_order",
+        "order_status",
+    )
+    product = shop_product(spark, folder).selectExpr(
+        "product_id",
+        "brand",
+        "product_line",
+        "product_class",
+        "product_size",
+        "CASE WHEN brand IS NOT NULL THEN replace(CAST(standard_cost AS STRING), '.', ',') END AS standard_cost",
+    )
+    joined = lines.join(orders, "order_id").join(product, "product_id")
     return joined.selectExpr(
         "transaction_id",
         "product_id",
         "customer_id",
-        "date_format(order_date, 'M/d/yyyy') AS transaction_date",
-        "initcap(CAST(online_order AS STRING)) AS online_order",
+        "transaction_date",
+        "online_order",
         "order_status",
         "brand",
         "product_line",
@@ -202,5 +217,5 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
         "product_size",
         "CASE WHEN transaction_id % 53 = 0 THEN 'abc' "
         "ELSE replace(CAST(CAST(price AS DECIMAL(10,2)) AS STRING), '.', ',') END AS list_price",
-        "CASE WHEN brand IS NOT NULL THEN replace(CAST(standard_cost AS STRING), '.', ',') END AS standard_cost",
+        "standard_cost",
     )
