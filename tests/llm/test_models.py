@@ -1,8 +1,10 @@
 """The learned operators: exactness of forward-backward, held-out accuracy, defined edges."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,33 @@ def test_every_byte_of_long_words_counts(spark):
         assert langid.piece_weights(found).sum() == (1 if length <= 24 else pytest.approx((length - 1) / 23))
 
 
+def test_labelling_takes_memory_for_a_slice_not_for_a_batch():
+    draw = np.random.default_rng(3)
+    words = ["".join(draw.choice(list("abcdefgh"), 5)) for _ in range(500)]
+    texts = [None if k % 50 == 7 else " ".join(draw.choice(words, 500)) for k in range(1300)]
+    languages, model = langid.train([("aa", texts[0]), ("bb", "wyz vwx"), ("cc", "klm mno"), ("dd", "pqr stu")], 200)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(1300), "text": texts})
+    assert batch.nbytes > 3.5e6
+    for run, rows in ((langid._known_only(languages, model), 1274), (langid._predicted(languages, model), 1300)):
+        tracemalloc.start()
+        found = sum(map(len, run(iter([batch]))))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found == rows and peak < 12 * batch.nbytes
+
+
+def test_remembered_words_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(langid, "_KEPT_BYTES", 1000)
+    languages, model = langid.train([("aa", "uno dos"), ("bb", "one two")], 10)
+    scores = langid._WordScores(model)
+    fresh = lambda words: langid._WordScores(model).look_up(words)
+    for k in range(20):
+        words = [b"-" * 400 + b"%d" % k, b"uno%d" % k, b"uno", b"7" * k]
+        for got, expected in zip(scores.look_up(words), fresh(words)):
+            assert np.array_equal(got, expected)
+        assert sum(map(len, scores.known)) < 2000
+
+
 def test_quality_of_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     found = QUERIES["op1_quality_classifier"](spark, folder).filter("held_out")

@@ -31,6 +31,8 @@ _STEP = _BYTES - 1  # runs that begin in a piece of a longer word; the last ones
 _WHOLE, _GOES_ON, _LAST = range(3)
 _EDGES = "0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…–—¿¡§°•"
 _KEPT_WORDS = 200_000
+_KEPT_BYTES = 16 << 20
+_SLICE_BYTES = 1 << 19  # labelling takes about 35 times the bytes of a slice
 UNKNOWN = "und"
 
 
@@ -99,18 +101,20 @@ class _WordScores:
         self.clear()
 
     def clear(self):
-        self.known, self.done = _Known(), 0
+        self.known, self.done, self.bytes = _Known(), 0, 0
         self.scores = np.empty((0, self.model.weights.shape[1]), np.float32)
         self.weights = np.empty(0)
         self.first = np.zeros(1, np.int64)  # where each word's pieces begin
 
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores and weights of the words' pieces, and how many pieces each word has."""
-        if len(self.known) > _KEPT_WORDS or len(self.scores) > 2 * _KEPT_WORDS:
+        if len(self.known) > _KEPT_WORDS or len(self.scores) > 2 * _KEPT_WORDS or self.bytes > _KEPT_BYTES:
             self.clear()
         numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if len(self.known) > self.done:
-            parts = [pieces(_plain(w)) for w in list(self.known)[self.done :]]
+            unseen = list(self.known)[self.done :]
+            self.bytes += sum(map(len, unseen))
+            parts = [pieces(_plain(w)) for w in unseen]
             new = [p for found in parts for p in found]
             scores = [self.model.scores(word_features(new[k : k + 16384])) for k in range(0, len(new), 16384)]
             self.scores = np.vstack([self.scores, *scores])
@@ -159,7 +163,7 @@ def train(sample: list[tuple[str, str]], train_runs: int, seed: int = 7) -> tupl
 def _labelled(languages: list[str], model: crf.Model, batches):
     """Slices of rows, each with its texts' languages, their shares, and which texts have letters."""
     scores = _WordScores(model)
-    for rows, texts in slices(batches, "text"):
+    for rows, texts in slices(batches, "text", _SLICE_BYTES):
         words = Slice(texts)
         best, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
         lettered = np.zeros(len(texts), bool)
@@ -189,7 +193,7 @@ def _predicted(languages: list[str], model: crf.Model):
                 names=["doc_id", "lang_pred", "score"],
             )
 
-    return run
+    return releasing(run)
 
 
 def _known_only(languages: list[str], model: crf.Model):

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 4 << 20
@@ -21,16 +22,15 @@ def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.
     """Rows in slices of at most `limit` bytes of text (a longer text is a slice of its own), and the
     texts of each slice as bytes, None where NULL."""
     for batch in batches:
-        texts = batch.column(column).cast(pa.binary()).to_pylist()
+        texts = batch.column(column).cast(pa.binary())
         begin, size = 0, 0
-        for i, text in enumerate(texts):
-            length = len(text) if text else 0
+        for i, length in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
             if i > begin and size + length > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+                yield batch.slice(begin, i - begin), texts.slice(begin, i - begin).to_pylist()
                 begin, size = i, 0
             size += length
         if len(texts) > begin:
-            yield batch.slice(begin), texts[begin:]
+            yield batch.slice(begin), texts.slice(begin).to_pylist()
 
 
 class Slice:
